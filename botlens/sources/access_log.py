@@ -34,35 +34,23 @@ def _groups(line: Column) -> Column:
     return F.when(~line.contains("\n"), F.split(rewritten, "\n", -1))
 
 
-def split_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Add ``parsed`` (a struct of all groups, NULL for a line that does not match)."""
-    parts = F.col("_parts")
-    fields = F.struct(*[parts[i].alias(name) for i, name in enumerate(values.ACCESS_LOG_GROUPS)])
-    matched = F.size(parts) == len(values.ACCESS_LOG_GROUPS)
-    return (
-        lines.withColumn("_parts", _groups(F.col(column)))
-        .withColumn("parsed", F.when(matched, fields))
-        .drop("_parts")
-    )
-
-
 def parse_access_log(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Typed-as-text fields of every line that matches the format.
+    """Text fields of every line that matches the format; other columns are kept.
 
     A missing agent tail gives NULL agent and referer, a present but empty one
     gives ``''``; the optional extension fields are ``''`` where absent.
     """
-    parsed = split_lines(lines, column).where(F.col("parsed").isNotNull())
     keep = [F.col(name) for name in lines.columns if name != column]
-    has_tail = F.col("parsed.tail") != ""
-    fields = []
-    for name in values.ACCESS_LOG_GROUPS:
-        value = F.col(f"parsed.{name}")
-        if name in ("referer", "agent"):
-            value = F.when(has_tail, value)
-        if name != "tail":
-            fields.append(value.alias(name))
-    return parsed.select(*keep, *fields)
+    parts = F.col("_parts")
+    group = {name: parts[i] for i, name in enumerate(values.ACCESS_LOG_GROUPS)}
+    for name in ("referer", "agent"):
+        group[name] = F.when(group["tail"] != "", group[name])
+    fields = F.struct(*[group[n].alias(n) for n in values.ACCESS_LOG_GROUPS if n != "tail"])
+    matched = F.size(parts) == len(values.ACCESS_LOG_GROUPS)
+    # A filter would be pushed below the split and run the regex twice; as a list
+    # of no or one row the groups are computed once.
+    found = F.when(matched, F.array(fields)).otherwise(F.array())
+    return lines.select(*keep, _groups(F.col(column)).alias("_parts")).select(*keep, F.inline(found))
 
 
 def quarantined_lines(lines: DataFrame, column: str = "value") -> DataFrame:
