@@ -53,6 +53,7 @@ def class_weights(labeled: DataFrame, label: str = "label") -> DataFrame:
     """Add ``weight``, so that both classes (0 and 1) weigh the same in total.
 
     The class sizes are one aggregated row that every task reads as a constant.
+    Input that is costly to compute should be checkpointed: it is read twice.
     """
     total = F.count(F.lit(1))
     size = labeled.agg(total.alias("n"), F.sum(F.col(label).cast("bigint")).alias("p"))
@@ -107,14 +108,14 @@ def interpolate_minority(
         F.col(key).cast("string").alias(key),
         *[F.col(name).cast("double").alias(name) for name in values.FEATURE_NAMES],
     )
-    # At most 2^7 rows, one per combination of the 0/1 features.
+    # One row per combination of the 0/1 features; adaptive execution picks the join.
     cells = (
         minority.groupBy(*_CELL_FEATURES)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_groups", F.ceil(F.col("_rows") / F.lit(group_size)))
         .drop("_rows")
     )
-    dealt = minority.join(F.broadcast(cells), list(_CELL_FEATURES)).withColumn(
+    dealt = minority.join(cells, list(_CELL_FEATURES)).withColumn(
         "_group", F.floor(_unit_hash(F.col(key)) * F.col("_groups"))
     )
     numeric = [n for n in values.FEATURE_NAMES if n not in _CELL_FEATURES]

@@ -275,8 +275,9 @@ def scale_features(spark, folder):
 
 
 def _labeled(spark, folder):
+    # The steps on labels read the rows twice; the windows are computed once.
     found = _fallback(spark, folder).withColumn("label", F.col("is_bot"))
-    return detections.with_detection_id(found)
+    return checkpointed(detections.with_detection_id(found))
 
 
 def balance_classes(spark, folder):

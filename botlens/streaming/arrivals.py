@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+_SLICE = 10_000  # rows handed back to Spark at a time
+
 
 def stream_gaps(
     events: DataFrame, watermark: str = "10 minutes", idle_minutes: int = 60
@@ -40,9 +42,12 @@ def stream_gaps(
         state.update((newest,))
         expiry = newest // 1000 + idle_ms
         state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({
-            "timestamp": times, "client_ip": key[0], "gap_seconds": gap.where(gap >= 0),
-        })
+        known = gap.where(gap >= 0)
+        for low in range(0, len(times), _SLICE):
+            part = slice(low, low + _SLICE)
+            yield pd.DataFrame({
+                "timestamp": times[part], "client_ip": key[0], "gap_seconds": known[part],
+            })
 
     timed = events.where("timestamp is not null").select("timestamp", "client_ip")
     return (

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from botlens.config import PRESETS, Settings, load_settings
-from botlens.operators.detections import with_detection_id
+from botlens.operators.detections import display_rows, with_detection_id
 from botlens.operators.scoring import stamp
 from botlens.plans import detectors
 from botlens.sources import access_log, topic
@@ -57,7 +57,8 @@ def main(arguments: list[str] | None = None) -> None:
     if args.store:
         query = sinks.DetectionStore(args.store, args.job).start(rows, settings, mode, args.once)
     else:
-        query = sinks.start_console(rows, settings, args.job, shown=50, once=args.once)
+        shown = display_rows(rows) if args.job == "model" else rows
+        query = sinks.start_console(shown, settings, args.job, shown=50, once=args.once)
     query.awaitTermination()
 
 
