@@ -7,9 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from botlens import values
 
+# Declared, so that opening the table starts no job to look for a schema.
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 EVENT_COLUMNS = {
     "client_ip": """case when event_id % 4 = 0 then '10.0.0.' || cast(user_id % 3 as string)
         else '203.0.' || cast(cast(floor(user_id / 250e0) as int) as string)
@@ -64,7 +75,7 @@ MESSAGE = """case when event_id % 47 = 0 then substr(body, 1, 60)
 
 def events_table(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def access_logs(events: DataFrame, dense: bool = False) -> DataFrame:
