@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from botlens import values
 from botlens.functions import scores
@@ -22,14 +23,16 @@ UNSCALED_FEATURES = tuple(n for n in values.FEATURE_NAMES if n not in values.SCA
 
 def assemble_features(windows: DataFrame) -> DataFrame:
     """All model features as doubles: a missing column or a NULL becomes 0."""
-    present = set(windows.columns)
+    return windows.withColumns(dict(zip(values.FEATURE_NAMES, _feature_columns(windows), strict=True)))
 
+
+def _feature_columns(windows: DataFrame) -> list[Column]:
     def feature(name: str) -> Column:
-        if name not in present:
+        if name not in windows.columns:
             return F.lit(0.0)
         return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
 
-    return windows.withColumns({name: feature(name) for name in values.FEATURE_NAMES})
+    return [feature(name) for name in values.FEATURE_NAMES]
 
 
 def scaling_stages() -> list:
@@ -197,29 +200,27 @@ def stats_columns(column: str = "bot_probability") -> list[Column]:
     ]
 
 
-def apply_foreign_model(
-    features: DataFrame, predict: Callable[[np.ndarray], np.ndarray], keys: tuple[str, ...]
-) -> DataFrame:
+Predictor = Callable[[np.ndarray], np.ndarray]
+
+
+def apply_foreign_model(windows: DataFrame, predict: Predictor) -> DataFrame:
     """Score with any Python model: ``predict`` maps a (rows, 16) array to probabilities.
 
-    Runs on the executors in Arrow batches. Only the keys and the features go to
-    Python and only the keys and the score come back.
+    Runs on the executors in Arrow batches, on tables and streams. Only the
+    features go to Python and only the score comes back.
     """
-    names = list(values.FEATURE_NAMES)
-    sent = features.select(*keys, *names)
-    schema = T.StructType([sent.schema[k] for k in keys] + [T.StructField("bot_probability", T.DoubleType())])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            result = batch[list(keys)].copy()
-            result["bot_probability"] = np.asarray(predict(batch[names].to_numpy(dtype="float64")), dtype="float64")
-            yield result
+    @F.pandas_udf("double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            rows = np.column_stack([c.to_numpy(dtype="float64") for c in columns])
+            yield pd.Series(np.asarray(predict(rows), dtype="float64"))
 
-    return sent.mapInPandas(score, schema)
+    return windows.withColumn("bot_probability", score(*_feature_columns(windows)))
 
 
-def logistic_model(weights: dict[str, float], intercept: float) -> Callable[[np.ndarray], np.ndarray]:
-    """A logistic model with given weights, for ``apply_foreign_model``."""
+def logistic_model(weights: dict[str, float], intercept: float) -> Predictor:
+    """A logistic model with given weights."""
     vector = np.array([weights.get(name, 0.0) for name in values.FEATURE_NAMES])
 
     def predict(rows: np.ndarray) -> np.ndarray:
@@ -228,8 +229,31 @@ def logistic_model(weights: dict[str, float], intercept: float) -> Callable[[np.
     return predict
 
 
-def onnx_model(path: str) -> Callable[[np.ndarray], np.ndarray]:
-    """An ONNX model file, opened once per Python worker; executors must be able to read it."""
+def python_model(spark: SparkSession, model) -> Predictor:
+    """A fitted Python model with ``predict_proba`` (class 1 is taken) or else ``predict``.
+
+    The pickled model is broadcast, so an executor fetches it once and not with
+    every task, and a Python worker unpickles it once.
+    """
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    opened = {}
+
+    def predict(rows: np.ndarray) -> np.ndarray:
+        if "model" not in opened:
+            opened["model"] = pickle.loads(shared.value)
+        fitted = opened["model"]
+        if hasattr(fitted, "predict_proba"):
+            return np.asarray(fitted.predict_proba(rows))[:, 1]
+        return np.asarray(fitted.predict(rows), dtype="float64")
+
+    return predict
+
+
+def onnx_model(path: str) -> Predictor:
+    """An ONNX model file, opened once per Python worker; executors must be able to read it.
+
+    The first output holds one probability per row, or one per class (1 is taken).
+    """
     opened = {}
 
     def predict(rows: np.ndarray) -> np.ndarray:
@@ -239,6 +263,20 @@ def onnx_model(path: str) -> Callable[[np.ndarray], np.ndarray]:
             opened["session"] = onnxruntime.InferenceSession(path, providers=["CPUExecutionProvider"])
         session = opened["session"]
         inputs = {session.get_inputs()[0].name: rows.astype("float32")}
-        return np.asarray(session.run([session.get_outputs()[0].name], inputs)[0]).reshape(-1)
+        found = np.asarray(session.run([session.get_outputs()[0].name], inputs)[0])
+        return found[:, 1] if found.ndim == 2 and found.shape[1] == 2 else found.reshape(-1)
 
     return predict
+
+
+def with_scaling(predict: Predictor, mean: Sequence[float], scale: Sequence[float]) -> Predictor:
+    """Standardize the five numeric features, given in their fixed order, before the model."""
+    places = [values.FEATURE_NAMES.index(name) for name in values.SCALED_FEATURES]
+    center, spread = np.asarray(mean, dtype="float64"), np.asarray(scale, dtype="float64")
+
+    def scaled(rows: np.ndarray) -> np.ndarray:
+        rows = rows.copy()
+        rows[:, places] = (rows[:, places] - center) / spread
+        return predict(rows)
+
+    return scaled

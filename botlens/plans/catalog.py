@@ -332,9 +332,9 @@ def detection_id(spark, folder):
 
 
 def foreign_model_udf(spark, folder):
-    assembled = learning.assemble_features(_fallback(spark, folder))
     model = learning.logistic_model(FOREIGN_WEIGHTS, FOREIGN_INTERCEPT)
-    return _even(learning.apply_foreign_model(assembled, model, _WINDOW))
+    found = detectors.model_detections(_dense(spark, folder), SENSITIVE, model)
+    return _even(found, *_WINDOW, "bot_probability", "is_bot", "prediction_method")
 
 
 # --- reports ------------------------------------------------------------------

@@ -62,12 +62,20 @@ def fallback_detections(events: DataFrame, settings: Settings, temporal: str = "
 
 
 def model_detections(
-    events: DataFrame, settings: Settings, model: PipelineModel | None, temporal: str = "zero"
+    events: DataFrame,
+    settings: Settings,
+    model: PipelineModel | learning.Predictor | None,
+    temporal: str = "zero",
 ) -> DataFrame:
-    """Detections by a fitted model, or by the fallback when there is none."""
+    """Detections by a fitted pipeline or Python predictor, or by the fallback without one."""
     if model is None:
         return fallback_detections(events, settings, temporal)
-    scored = learning.predict_probability(model_windows(events, settings, temporal), model)
+    apply = (
+        learning.predict_probability
+        if isinstance(model, PipelineModel)
+        else learning.apply_foreign_model
+    )
+    scored = apply(model_windows(events, settings, temporal), model)
     return _explained(
         learning.predict_threshold(scored, settings.ml.prediction_threshold), settings
     )

@@ -393,8 +393,10 @@ ORACLES: dict[str, str] = {
         round(max(bot_probability), 6) as max_probability, round(avg(bot_probability), 6) as mean_probability
         from found""",
     "detection_id": f"{_FOUND}select window_start, client_ip, {_ID} as detection_id from found",
-    "foreign_model_udf": f"""{_FOUND}select window_start, client_ip,
-        round(1e0 / (1e0 + exp(-({_LOGIT} + ({catalog.FOREIGN_INTERCEPT}e0)))), 6) as bot_probability from found""",
+    "foreign_model_udf": f"""{_found(extra=(('judged', f'''select window_start, client_ip,
+        1e0 / (1e0 + exp(-({_LOGIT} + ({catalog.FOREIGN_INTERCEPT}e0)))) as p from found'''),))}
+        select window_start, client_ip, round(p, 6) as bot_probability, {_flag('p >= 0.5e0')} as is_bot,
+        '{values.MODEL_METHOD}' as prediction_method from judged""",
     "detection_timeline": _timeline(_FOUND, "found", 30),
     "detection_timeline_60s": _timeline(_FOUND, "found", 60),
     "sparse_timeline": _timeline(_rule(SPARSE, 86400, 43200, 6, 0.5), "rule where is_bot", 3600),

@@ -107,6 +107,70 @@ def test_foreign_model(training):
         assert rows.shape[1] == 16
         return np.full(len(rows), 0.5)
 
-    scored = learning.apply_foreign_model(training, halves, ("client_ip",))
+    scored = learning.apply_foreign_model(training, halves)
     assert scored.count() == training.count()
     assert scored.agg(F.avg("bot_probability")).first()[0] == 0.5
+
+
+def test_python_models_and_scaling(spark, training):
+    class WithProbabilities:
+        def predict_proba(self, rows):
+            hit = (rows[:, 4] >= 10).astype("float64")
+            return np.column_stack([1 - hit, hit])
+
+    class Plain:
+        def predict(self, rows):
+            return (rows[:, 4] >= 10).astype("int64")
+
+    want = training.where("requests_per_ip >= 10").count()
+    for model in (WithProbabilities(), Plain()):
+        scored = learning.apply_foreign_model(training, learning.python_model(spark, model))
+        assert scored.agg(F.sum("bot_probability")).first()[0] == want
+
+    mean, deviation = training.agg(F.avg("Payload_Size"), F.stddev("Payload_Size")).first()
+    payload = learning.with_scaling(lambda rows: rows[:, 3], [mean, 0, 0, 0, 0], [deviation, 1, 1, 1, 1])
+    scaled = learning.apply_foreign_model(training, payload)
+    assert scaled.agg(F.avg("bot_probability")).first()[0] == pytest.approx(0, abs=1e-9)
+
+
+def field(number, kind, body):
+    """One protobuf field: kind 0 is a number, kind 2 is bytes."""
+    def number_bytes(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    head = number_bytes(number << 3 | kind)
+    return head + (number_bytes(body) if kind == 0 else number_bytes(len(body)) + body)
+
+
+def onnx_file(path, weights):
+    """A model file for sigmoid(x @ weights), written field by field."""
+    def value_info(name, width):
+        dims = field(1, 2, field(2, 2, b"n")) + field(1, 2, field(1, 0, width))
+        tensor = field(1, 0, 1) + field(2, 2, dims)
+        return field(1, 2, name) + field(2, 2, field(1, 2, tensor))
+
+    matrix = np.asarray(weights, dtype="<f4").reshape(16, 1)
+    constant = field(1, 0, 16) + field(1, 0, 1) + field(2, 0, 1) + field(8, 2, b"w") + field(9, 2, matrix.tobytes())
+    product = field(1, 2, b"x") + field(1, 2, b"w") + field(2, 2, b"z") + field(4, 2, b"MatMul")
+    squash = field(1, 2, b"z") + field(2, 2, b"p") + field(4, 2, b"Sigmoid")
+    graph = (
+        field(1, 2, product) + field(1, 2, squash) + field(2, 2, b"g") + field(5, 2, constant)
+        + field(11, 2, value_info(b"x", 16)) + field(12, 2, value_info(b"p", 1))
+    )
+    path.write_bytes(field(1, 0, 8) + field(7, 2, graph) + field(8, 2, field(2, 0, 13)))
+
+
+def test_onnx_model(training, tmp_path):
+    pytest.importorskip("onnxruntime")
+    weights = {"requests_per_ip": 0.5, "ua_is_tool": -1.0}
+    onnx_file(tmp_path / "m.onnx", [weights.get(n, 0.0) for n in values.FEATURE_NAMES])
+    rows = training.select("client_ip", *values.FEATURE_NAMES)
+    mine = learning.apply_foreign_model(rows, learning.onnx_model(str(tmp_path / "m.onnx")))
+    want = learning.apply_foreign_model(rows, learning.logistic_model(weights, 0.0))
+    found, wanted = (
+        [r[0] for r in f.orderBy(*rows.columns).select("bot_probability").collect()] for f in (mine, want)
+    )
+    assert found == pytest.approx(wanted, abs=1e-5)

@@ -130,6 +130,28 @@ def test_arrival_windows_against_brute_force(make_events):
         assert row.inter_arrival_std == pytest.approx(stdev(known) if len(known) > 1 else 0.0)
 
 
+@pytest.mark.parametrize("duration, slide", [("1 minute", "10 seconds"), ("5 minutes", "10 seconds")])
+def test_counting_by_slide_changes_nothing(make_events, monkeypatch, duration, slide):
+    rng = random.Random(8)
+    requests = [
+        {**r, "bytes": rng.choice([None, 5, 70]), "status": rng.choice([200, 404, 503, None])}
+        for r in random_requests(300, 9)
+    ]
+    flagged = features.suspicion_flags(make_events(*requests, {"at": None}), SENSITIVE)
+    by_slide = windows.traffic_windows(flagged, duration, slide)
+    monkeypatch.setattr(windows, "MANY_WINDOWS", 10**9)
+    direct = windows.traffic_windows(flagged, duration, slide)
+    assert by_slide.columns == direct.columns and by_slide.dtypes == direct.dtypes
+    assert by_slide.exceptAll(direct).count() == 0 == direct.exceptAll(by_slide).count()
+
+
+def test_windows_per_event():
+    assert windows.windows_per_event("1 minute", "10 seconds") == 6
+    assert windows.windows_per_event("1 day", "12 hours") == 2
+    assert windows.windows_per_event("1 minute", "25 seconds") is None
+    assert windows.windows_per_event("1 minute 5 seconds", "5 seconds") is None
+
+
 def test_agent_diversity(make_events):
     events = make_events({"agent": "a"}, {"agent": "b"}, {"agent": ""}, {"agent": None}, {"agent": "a"})
     exact = windows.agent_diversity(events, "60 seconds", "30 seconds").first()
