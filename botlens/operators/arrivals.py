@@ -46,18 +46,22 @@ def request_gaps(events: DataFrame, slot: str = "1 minute") -> DataFrame:
     )
 
 
-def arrival_windows(gaps: DataFrame, duration: str, slide: str) -> DataFrame:
+def arrival_windows(
+    gaps: DataFrame, duration: str, slide: str, watermark: str = "10 minutes"
+) -> DataFrame:
     """Arrival-time features per window and client.
 
     ``time_since_last_request`` belongs to the first request of the window, as
     the other per-request features do; ``inter_arrival_std`` is the sample
     deviation of all gaps. Both are 0 where there is no gap to speak of.
     """
-    order = [c for c in ("timestamp", "event_id") if c in gaps.columns]
+    # Of requests at the same time, only the first can have a gap other than 0.
+    earliest = F.min(F.struct("timestamp", (-F.col("gap_seconds")).alias("minus_gap")))
     return (
-        gaps.groupBy(F.window("timestamp", duration, slide), "client_ip")
+        gaps.withWatermark("timestamp", watermark)
+        .groupBy(F.window("timestamp", duration, slide), "client_ip")
         .agg(
-            F.min(F.struct(*order, "gap_seconds"))["gap_seconds"].alias("time_since_last_request"),
+            (-earliest["minus_gap"]).alias("time_since_last_request"),
             F.stddev_samp("gap_seconds").alias("inter_arrival_std"),
         )
         .fillna(0.0, subset=["time_since_last_request", "inter_arrival_std"])

@@ -21,6 +21,11 @@ def stream_gaps(
     that arrives in a later batch than its successor gets no gap. A batch holds
     the requests of a client in one task, so bound the batch size (offsets or
     files per trigger) to bound that group.
+
+    To aggregate the gaps further, set
+    ``spark.sql.streaming.statefulOperator.checkCorrectness.enabled`` to false:
+    Spark cannot know that every row given out here keeps the time it came in
+    with, and so is never behind the watermark.
     """
     idle_ms = idle_minutes * 60_000
 

@@ -219,3 +219,60 @@ def test_job_from_the_command_line(spark, tmp_path):
     jobs.main(["rule", "--logs", str(logs), "--config", str(config), "--store", store, "--once"])
     row = sinks.DetectionStore(store).latest(spark).first()
     assert (row.client_ip, row.request_count, row.is_bot) == ("1.2.3.4", 12, True)
+
+
+def test_arrival_windows_on_streams(spark, feed, make_events, request):
+    from botlens.operators.arrivals import arrival_windows, request_gaps
+
+    rng = random.Random(7)
+    moments = sorted(rng.randrange(0, 1200) / 4 for _ in range(120))
+    clients = [rng.choice(["9.9.9.9", "1.1.1.1"]) for _ in moments]
+    rows = [{"id": i, "at": at, "ip": ip} for i, (at, ip) in enumerate(zip(moments, clients, strict=True))]
+    for low in (0, 60):
+        feed(make_events(*rows[low:low + 60]))
+    feed(make_events({"at": LATER, "ip": "end"}))
+    check = "spark.sql.streaming.statefulOperator.checkCorrectness.enabled"
+    spark.conf.set(check, "false")
+    request.addfinalizer(lambda: spark.conf.unset(check))
+    gaps = stream_arrivals.stream_gaps(feed.stream())
+    grouped = windows.flatten_window(arrival_windows(gaps, "60 seconds", "30 seconds"))
+    query = (
+        grouped.writeStream.format("memory").queryName("arrivals").outputMode("append")
+        .trigger(availableNow=True).start()
+    )
+    run(query)
+    batch = windows.flatten_window(
+        arrival_windows(request_gaps(make_events(*rows)), "60 seconds", "30 seconds"))
+    columns = ("window_start", "client_ip", "time_since_last_request", "inter_arrival_std")
+    found, want = (
+        key_rows(f.withColumn("inter_arrival_std", F.round("inter_arrival_std", 6)), *columns)
+        for f in (spark.table("arrivals").where("client_ip <> 'end'"), batch)
+    )
+    assert found == want
+
+
+def test_alerts_as_a_stream(spark, feed, settings, tmp_path, dense, make_events):
+    from botlens.operators.searches import alerts
+
+    feed(dense)
+    feed(make_events({"at": LATER, "ip": "end"}).withColumns(
+        {"referer": F.lit("-"), "log_type": F.lit("x")}).select(dense.columns))
+    store = sinks.DetectionStore(str(tmp_path / "store"), "alerts")
+    rows = alerts(jobs.model_stream(feed.stream(), settings, spark))
+    run(store.start(rows, settings, once=True))
+    batch = alerts(detectors.fallback_detections(dense, SENSITIVE))
+    assert batch.count() > 0
+    assert key_rows(store.read(spark), *MODEL) == key_rows(batch, *MODEL)
+
+
+def test_trigger_interval(spark, feed, settings, make_events, tmp_path):
+    feed(make_events({"at": 0}))
+    timed = settings.override({"streaming": {"trigger_interval": "1 second"}})
+    store = sinks.DetectionStore(str(tmp_path / "store"), "timed")
+    query = store.start(jobs.rule_stream(feed.stream(), timed), timed, "update")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and query.exception() is None
+    finally:
+        query.stop()
+    assert not query.isActive and store.read(spark).count() == 3
