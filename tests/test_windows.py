@@ -98,7 +98,7 @@ def brute_gaps(requests):
     return gaps
 
 
-@pytest.mark.parametrize("slot", ["1 second", "1 minute", "1 day"])
+@pytest.mark.parametrize("slot", [1, 60, 86400])
 def test_gaps_do_not_depend_on_the_slot(make_events, slot):
     requests = random_requests(400, 1)
     found = arrivals.request_gaps(make_events(*requests), slot).collect()
