@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +20,20 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once a session; does what --py-files would do."""
+    context = spark.sparkContext
+    if not getattr(context, "_botlens_shipped", False):
+        root = Path(__file__).resolve().parents[2]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='botlens-')}/botlens", "zip", root, "botlens")
+        context.addPyFile(archive)
+        context._botlens_shipped = True
+
+
 def fresh(frame: DataFrame, name: str) -> str:
     """A column name that the frame does not have yet, in any case of letters."""
     taken = {c.lower() for c in frame.columns}
@@ -66,8 +80,6 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
         root = f"file://{tempfile.gettempdir()}/botlens-shared"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 

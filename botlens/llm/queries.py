@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from botlens.llm import bpe, decontaminate, quality_rules
+from botlens.llm import bpe, decontaminate, near_dedup, quality_rules
 from botlens.llm.common import table
 
 
@@ -29,10 +29,15 @@ def round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": contamination,
     "op5_bpe": round_trips,
     "op7_quality_rules": quality,
+    "op10_near_dedup": near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
