@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the package of public tokenizers keeps a file; a cluster has it on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers, once a session; does what --py-files would do."""
     context = spark.sparkContext

@@ -6,15 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from botlens.llm import bpe, decontaminate, near_dedup, quality_rules
-from botlens.llm.common import table
+import corpus_pipeline
 
-
-def tokenizer_file(name: str) -> str:
-    """Where the box keeps the file of a public tokenizer."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
+from botlens.llm.common import table, tokenizer_file
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +28,17 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": contamination,
     "op5_bpe": round_trips,
+    "op6_line_dedup": lines,
     "op7_quality_rules": quality,
     "op10_near_dedup": near_duplicates,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
