@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
+from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules, token_counts, warc
 from botlens.llm.common import table, tokenizer_file
 
 
@@ -32,13 +32,25 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
 
 
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.written_and_read(table(spark, sf_dir, "pages"))
+
+
+def unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": contamination,
+    "op4_warc": archives,
     "op5_bpe": round_trips,
     "op6_line_dedup": lines,
     "op7_quality_rules": quality,
+    "op8_token_counts": unigram_counts,
     "op10_near_dedup": near_duplicates,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": warc.ORACLE,
+}
