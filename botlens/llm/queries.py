@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules, token_counts, warc
+from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_pu, quality_rules, token_counts, warc
 from botlens.llm.common import table, tokenizer_file
 
 
@@ -40,6 +40,11 @@ def unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_pu.scored(docs, quality_pu.trained(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": contamination,
     "op4_warc": archives,
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": lines,
     "op7_quality_rules": quality,
     "op8_token_counts": unigram_counts,
+    "op9_quality_classifier": quality_scores,
     "op10_near_dedup": near_duplicates,
     "pipeline": corpus_pipeline.run,
 }
