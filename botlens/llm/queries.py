@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from botlens.llm import bpe, decontaminate, line_dedup, near_dedup, quality_pu, quality_rules, token_counts, warc
+from botlens.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    line_dedup,
+    near_dedup,
+    oracles,
+    pii,
+    quality_pu,
+    quality_rules,
+    token_counts,
+    warc,
+)
 from botlens.llm.common import table, tokenizer_file
 
 
@@ -45,7 +57,17 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_pu.scored(docs, quality_pu.trained(docs, table(spark, sf_dir, "labels")))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": personal_data,
+    "op2_licenses": license_scan,
     "op3_decontamination": contamination,
     "op4_warc": archives,
     "op5_bpe": round_trips,
@@ -57,6 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {
-    "op4_warc": warc.ORACLE,
-}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
