@@ -30,7 +30,7 @@ def _groups(line: Column) -> Column:
     # One regex pass per line: a matching line is rewritten to its groups, one
     # per row, and split there. A line holds no line break itself, so a line
     # that does not match stays in one piece.
-    rewritten = F.regexp_replace(line, values.ACCESS_LOG_PATTERN, F.lit(_ONE_GROUP_PER_LINE))
+    rewritten = F.regexp_replace(line, values.ACCESS_LOG_PATTERN_LINEAR, F.lit(_ONE_GROUP_PER_LINE))
     return F.when(~line.contains("\n"), F.split(rewritten, "\n", -1))
 
 
@@ -57,7 +57,7 @@ def quarantined_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines that do not match the format."""
     # A match needs no groups here, so a plain regex test is enough.
     line = F.col(column)
-    matches = line.rlike(values.ACCESS_LOG_PATTERN) & ~line.contains("\n")
+    matches = line.rlike(values.ACCESS_LOG_PATTERN_LINEAR) & ~line.contains("\n")
     return lines.where(~F.coalesce(matches, F.lit(False)))
 
 

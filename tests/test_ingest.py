@@ -1,9 +1,14 @@
 import gzip
 import json
+import time
 from dataclasses import replace
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from botlens import values
 from botlens.config import SENSITIVE, Stream
 from botlens.sources import access_log, topic
 
@@ -51,6 +56,29 @@ def test_odd_requests_and_sizes(spark):
     assert (size.status, size.bytes_sent) == (0, 12)
 
 
+@pytest.mark.parametrize("filler", [" ", '"', "[", "a ", "\t ", "a"])
+def test_hostile_lines_take_linear_time(spark, filler):
+    head = '1.1.1.1 - - [10/Oct/2024:13:55:36 +0000] "GET '
+    lines = [(head + filler * 100_000,), (head + filler * 100_000 + ' HTTP/1.1" 200 5',), (head + "/" + filler * 50_000 + '" 200 5',)]
+    frame = spark.createDataFrame(lines, "value string").cache()
+    frame.count()
+    started = time.perf_counter()
+    parsed = access_log.parse_access_log(frame).count()
+    aside = access_log.quarantined_lines(frame).count()
+    assert parsed + aside == 3
+    assert time.perf_counter() - started < 6
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["GET", " ", "  ", "/a", "\t", "HTTP/1.1", "-", "b"]), max_size=7).map("".join), min_size=30, max_size=30))
+def test_linear_pattern_finds_what_the_plain_one_finds(spark, requests):
+    lines = [(f'1.1.1.1 - - [t] "{r}" 200 5 "-" "x"',) for r in requests]
+    frame = spark.createDataFrame(lines, "value string")
+    groups = lambda pattern: [F.regexp_extract("value", pattern, i) for i in range(1, 15)]
+    same = F.array(*groups(values.ACCESS_LOG_PATTERN)) == F.array(*groups(values.ACCESS_LOG_PATTERN_LINEAR))
+    assert frame.where(~same).collect() == []
+
+
 def test_bad_lines_are_kept_aside(spark):
     bad = ["", "garbage", FULL[:30], FULL + "\n" + FULL, None]
     frame = spark.createDataFrame([(line,) for line in [*bad, FULL]], "value string")
