@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field, fields
 
 from botlens import values
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Weights:
@@ -58,12 +61,16 @@ class Topic:
     bootstrap_servers: str = "localhost:9092"
     topic: str = "nginx-logs"
     starting_offsets: str = "earliest"
+    # Off as in the original jobs: offsets that have expired are skipped with a warning in the log.
+    fail_on_data_loss: bool = False
 
 
 @dataclass(frozen=True)
 class Stream:
     trigger_interval: str | None = None
     max_offsets_per_trigger: int | None = None
+    max_files_per_trigger: int | None = None
+    compact_every: int | None = 500
 
 
 @dataclass(frozen=True)
@@ -106,6 +113,12 @@ def _lift_spark_section(changes: Mapping) -> dict:
 
 
 def _build(cls, data: Mapping):
+    names = {f.name for f in fields(cls)}
+    unknown = sorted(str(name) for name in data if name not in names)
+    if unknown and cls is Settings:  # sections of other programs may share the file
+        log.warning("settings sections that are not used: %s", ", ".join(unknown))
+    elif unknown:
+        raise ValueError(f"unknown settings in {cls.__name__}: {', '.join(unknown)}")
     known = {}
     for f in fields(cls):
         if f.name not in data:
@@ -145,7 +158,7 @@ STANDARD = Settings(
         bot_patterns=values.SUSPICIOUS_AGENTS_EXTENDED,
         whitelist=values.WELCOME_AGENTS,
     ),
-    streaming=Stream(trigger_interval="60 seconds", max_offsets_per_trigger=1000),
+    streaming=Stream(trigger_interval="60 seconds"),
 )
 
 PRESETS = {"sensitive": SENSITIVE, "standard": STANDARD}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -17,8 +19,10 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
-            if not context.master.startswith("local"):
+            master = context.master
+            if master != "local" and not master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             folder = tempfile.mkdtemp(prefix="botlens-checkpoint-")
+            atexit.register(shutil.rmtree, folder, True)
         context.setCheckpointDir(folder)
     return rows.checkpoint()

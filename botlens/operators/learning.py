@@ -55,9 +55,11 @@ def scale_features(features: DataFrame) -> DataFrame:
 def class_weights(labeled: DataFrame, label: str = "label") -> DataFrame:
     """Add ``weight``, so that both classes (0 and 1) weigh the same in total.
 
-    The class sizes are one aggregated row that every task reads as a constant.
+    The class sizes are one aggregated row that every task reads as a constant. Rows
+    without a label are left out.
     Input that is costly to compute should be checkpointed: it is read twice.
     """
+    labeled = labeled.where(F.col(label).isNotNull())
     total = F.count(F.lit(1))
     size = labeled.agg(total.alias("n"), F.sum(F.col(label).cast("bigint")).alias("p"))
     rows = size.select(F.struct("n", "p")).scalar()
@@ -83,8 +85,10 @@ def oversample(labeled: DataFrame, key: Column, label: str = "label") -> DataFra
 
     Every row is repeated the whole number of times the ratio asks for; a hash of
     ``key`` decides who gets the fractional copy, so a rerun gives the same rows.
-    ``copy`` numbers the copies from 0.
+    ``copy`` numbers the copies from 0. Rows without a label are left out. Many copies
+    are made in two steps, so that no row holds them all.
     """
+    labeled = labeled.where(F.col(label).isNotNull())
     size = labeled.agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("p")
     ).select(F.struct("n", "p")).scalar()
@@ -93,48 +97,76 @@ def oversample(labeled: DataFrame, key: Column, label: str = "label") -> DataFra
     ratio = F.greatest(ones, zeros) / mine
     whole = F.floor(ratio)
     copies = whole + (_unit_hash(key.cast("string")) < ratio - whole).cast("int")
-    numbers = F.sequence(F.lit(0).cast("bigint"), copies - 1)
-    return labeled.withColumn("copy", F.explode(numbers))
+    span = 1000
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / span))
+    some = labeled.withColumns({"_copies": copies, "_block": F.explode(blocks)})
+    numbers = F.sequence(F.col("_block") * span, F.least(F.col("_block") * span + (span - 1), F.col("_copies") - 1))
+    return some.withColumn("copy", F.explode(numbers)).drop("_copies", "_block")
+
+
+_NUMERIC_FEATURES = tuple(n for n in values.FEATURE_NAMES if n not in _CELL_FEATURES)
 
 
 def interpolate_minority(
-    features: DataFrame, key: str, label: str = "label", copies: int = 1, group_size: int = 1000
+    features: DataFrame, key: str, label: str = "label", copies: int = 1, pieces: int = 64
 ) -> DataFrame:
     """Synthetic rows of class 1, each between a row and a near one of its class (SMOTE).
 
-    Rows with the same 0/1 features form a cell, so those features stay 0 or 1. A
-    cell is dealt out to groups of about ``group_size`` rows, however large it is;
-    in a group, rows are ordered by the size of their numeric features and each is
-    combined with the ``copies`` rows after it. No pairs are built beyond those used.
+    Rows with the same 0/1 features form a cell, so those features stay 0 or 1. In
+    a cell, rows stand in the order of the size of their numeric features (in
+    steps), then of a hash of the key; each is combined with the ``copies`` rows
+    after it, and after the last row the first ones follow. So every row makes
+    exactly ``copies`` rows, and a cell of one row repeats itself.
+
+    Rows are sorted in pieces: a size step and one of ``pieces`` ranges of the hash.
+    A piece gets the first rows of those after it, so the result does not depend
+    on ``pieces`` and no task sorts a whole cell.
     """
     minority = features.where(F.col(label) == 1).select(
         F.col(key).cast("string").alias(key),
         *[F.col(name).cast("double").alias(name) for name in values.FEATURE_NAMES],
     )
-    # One row per combination of the 0/1 features; adaptive execution picks the join.
-    cells = (
-        minority.groupBy(*_CELL_FEATURES)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_groups", F.ceil(F.col("_rows") / F.lit(group_size)))
-        .drop("_rows")
+    size = sum((F.log1p(F.abs(n)) for n in _NUMERIC_FEATURES), F.lit(0.0))
+    cell = list(_CELL_FEATURES)
+    placed = minority.withColumns({
+        "_step": F.floor(size * 8), "_hash": _unit_hash(F.col(key)),
+        "_piece": F.floor(_unit_hash(F.col(key)) * pieces), "_row": F.struct(*_NUMERIC_FEATURES),
+    })
+    piece = Window.partitionBy(*cell, "_step", "_piece")
+    in_piece = piece.orderBy("_hash", key)
+    steps = range(1, copies + 1)
+    ordered = placed.withColumns({
+        "_at": F.row_number().over(in_piece), "_rows": F.count(F.lit(1)).over(piece),
+        **{f"_next{n}": F.lead("_row", n).over(in_piece) for n in steps},
+    })
+    # The first rows of each piece, at most ``copies``; a cell has a bounded number of pieces.
+    heads = (
+        ordered.where(F.col("_at") <= copies).groupBy(*cell, "_step", "_piece")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_row"))).alias("_head"))
+        .select(*cell, "_step", "_piece", F.transform("_head", lambda h: h["_row"]).alias("_head"))
     )
-    dealt = minority.join(cells, list(_CELL_FEATURES)).withColumn(
-        "_group", F.floor(_unit_hash(F.col(key)) * F.col("_groups"))
+    in_cell = Window.partitionBy(*cell).orderBy("_step", "_piece")
+    following = F.flatten(F.collect_list("_head").over(in_cell.rowsBetween(1, copies)))
+    start = F.slice(F.flatten(F.collect_list("_head").over(
+        Window.partitionBy(*cell).orderBy("_step", "_piece").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )), 1, copies)
+    after = heads.select(
+        *cell, "_step", "_piece",
+        F.slice(F.concat(following, F.flatten(F.array_repeat(start, copies))), 1, copies).alias("_after"),
     )
-    numeric = [n for n in values.FEATURE_NAMES if n not in _CELL_FEATURES]
-    size = sum((F.log1p(F.abs(n)) for n in numeric), F.lit(0.0))
-    nearby = Window.partitionBy(*_CELL_FEATURES, "_group").orderBy("_size", key)
-    ordered = dealt.withColumn("_size", size)
-    steps = range(1, copies + 1)
-    for step in steps:
-        ordered = ordered.withColumn(f"_next{step}", F.lead(F.struct(*numeric), step).over(nearby))
+    joined = ordered.join(after, [*cell, "_step", "_piece"])
     others = F.array(*[
-        F.struct(F.lit(step).alias("step"), F.col(f"_next{step}").alias("row")) for step in steps
+        F.struct(
+            F.lit(n).alias("step"),
+            F.when(F.col("_at") + n <= F.col("_rows"), F.col(f"_next{n}"))
+            .otherwise(F.get("_after", F.col("_at") + n - F.col("_rows") - 1)).alias("row"),
+        )
+        for n in steps
     ])
-    pairs = ordered.withColumn("_other", F.explode(others)).where("_other.row is not null")
+    pairs = joined.withColumn("_other", F.explode(others))
     share = _unit_hash(F.col(key), F.col("_other.step").cast("string"))
     between = {
-        n: F.col(n) + F.col("_share") * (F.col(f"_other.row.{n}") - F.col(n)) for n in numeric
+        n: F.col(n) + F.col("_share") * (F.col(f"_other.row.{n}") - F.col(n)) for n in _NUMERIC_FEATURES
     }
     made = pairs.withColumn("_share", share).withColumns(between)
     new_key = F.concat_ws("|", key, F.col("_other.step").cast("string"))

@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from botlens.operators.windows import whole_seconds
+
 
-def top_terms(rows: DataFrame, field: str, size: int = 10, **extra: Column) -> DataFrame:
+def top_terms(rows: DataFrame, field: str, size: int | None = 10, **extra: Column) -> DataFrame:
     """Rows per value, most frequent first, ties by value; NULL is no value.
 
     ``extra`` adds further aggregates to each value. Sorting and limit run as one
-    top-k step.
+    top-k step; without a size all values are returned, in no order.
     """
-    return (
+    counted = (
         rows.where(F.col(field).isNotNull())
         .groupBy(field)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
             *[agg.alias(name) for name, agg in extra.items()],
         )
-        .orderBy(F.desc("row_count"), F.asc(field))
-        .limit(size)
     )
+    return counted if size is None else counted.orderBy(F.desc("row_count"), F.asc(field)).limit(size)
 
 
 def total_rows(rows: DataFrame) -> DataFrame:
@@ -92,18 +95,23 @@ def recent(rows: DataFrame, time: str, span: str = "7 days", until: Column | Non
 
 
 def top_bot_paths(
-    events: DataFrame, bot_windows: DataFrame, slide: str, size: int = 10
+    events: DataFrame, bot_windows: DataFrame, slide: str, size: int = 10, duration: str | None = None
 ) -> DataFrame:
     """Most requested paths inside bot windows; a request counts once.
 
     ``bot_windows`` has ``window_start``, ``window_end`` and ``client_ip``. Windows
-    start on multiples of the slide, so each is cut into slide-long pieces: then
+    start on multiples of the slide, so each is cut into pieces as long as the
+    greatest common divisor of ``duration`` and ``slide`` (whole seconds): then
     a request lies in a bot window exactly if its own piece is one of them, and
     the time range becomes an equality. Requests are counted per piece, client
     and path before the join. The marked pieces are distinct, so an inner join
     keeps each count once; the optimizer would push a semi join below the count
     and so send raw requests through the join's shuffle.
     """
+    long, short = whole_seconds(duration or slide), whole_seconds(slide)
+    if not long or not short:
+        raise ValueError(f"windows of {duration} every {slide} are not whole seconds")
+    slide = f"{math.gcd(long, short)} seconds"
     piece = F.sequence(
         "window_start", F.col("window_end") - F.expr(f"interval {slide}"), F.expr(f"interval {slide}")
     )

@@ -21,18 +21,20 @@ FIRST_VALUES = (
 
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-# From this many windows per event on, batch tables are counted per slide first.
+# From this many windows per event on, batch tables are counted per slide first. A choice of plan by
+# the configured ratio, never by data; both plans give the same rows.
 MANY_WINDOWS = 6
 
 
-def windows_per_event(duration: str, slide: str) -> int | None:
-    """How many windows an event lies in; None if the slide does not divide the duration."""
+def whole_seconds(text: str) -> int | None:
+    """Seconds of a duration like ``5 minutes``; None for any other form."""
+    found = re.fullmatch(r"(\d+) (second|minute|hour|day|week)s?", text.strip().lower())
+    return int(found[1]) * _UNIT_SECONDS[found[2]] if found else None
 
-    def seconds(text: str) -> int | None:
-        found = re.fullmatch(r"(\d+) (second|minute|hour|day|week)s?", text.strip().lower())
-        return int(found[1]) * _UNIT_SECONDS[found[2]] if found else None
 
-    long, short = seconds(duration), seconds(slide)
+def windows_per_event(duration: str, slide: str) -> int | None:
+    """How many windows an event lies in; None if the slide does not divide the duration."""
+    long, short = whole_seconds(duration), whole_seconds(slide)
     return long // short if long and short and long % short == 0 else None
 
 

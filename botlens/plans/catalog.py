@@ -226,6 +226,11 @@ def typed_model_schema(spark, folder):
     return _even(stored, *names)
 
 
+def typed_log_schema(spark, folder):
+    events = access_log.events_from_lines(_lines(spark, folder))
+    return _even(tables.conform(events, schema.STORED_EVENT))
+
+
 def flatten_window(spark, folder):
     scored = detectors.rule_windows(_dense(spark, folder), SENSITIVE)
     return _even(windows.flatten_window(scored), "window_start", "window_end", "client_ip", "bot_score")
@@ -269,7 +274,8 @@ def assemble_features(spark, folder):
 
 
 def scale_features(spark, folder):
-    assembled = learning.assemble_features(_fallback(spark, folder))
+    # Fitting and scaling read the rows once each; the windows are computed once.
+    assembled = checkpointed(learning.assemble_features(_fallback(spark, folder)))
     scaled = learning.scale_features(assembled)
     return _even(scaled, *_WINDOW, *values.SCALED_FEATURES)
 
@@ -378,7 +384,7 @@ def recent_range(spark, folder):
 
 
 def status_distribution(spark, folder):
-    return report.top_terms(_sparse(spark, folder), "status", 100)
+    return report.top_terms(_sparse(spark, folder), "status", None)
 
 
 def error_rate_over_time(spark, folder):
@@ -388,7 +394,8 @@ def error_rate_over_time(spark, folder):
 def top_bot_paths(spark, folder):
     logs = _dense(spark, folder)
     bots = scoring.bot_alerts(detectors.rule_detections(logs, SENSITIVE))
-    return report.top_bot_paths(logs, bots, SENSITIVE.detection.slide_duration)
+    detection = SENSITIVE.detection
+    return report.top_bot_paths(logs, bots, detection.slide_duration, duration=detection.window_duration)
 
 
 def ip_profile(spark, folder):
@@ -443,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "flatten_window": flatten_window,
     "typed_store_schema": typed_store_schema,
     "typed_model_schema": typed_model_schema,
+    "typed_log_schema": typed_log_schema,
     "ua_suspicious": _row_feature("ua_suspicious", lambda: agents.is_suspicious(_AGENT())),
     "ua_suspicious_extended": _row_feature(
         "ua_suspicious", lambda: agents.is_suspicious(_AGENT(), values.SUSPICIOUS_AGENTS_EXTENDED)

@@ -275,6 +275,12 @@ ORACLES: dict[str, str] = {
         '{values.LOG_TYPE}' as log_type, coalesce(nullif(protocol, ''), 'TCP') as protocol,
         coalesce(try_cast(port as int), 80) as port, coalesce(nullif(request_type, ''), 'HTTP') as request_type
         from parsed""",
+    "typed_log_schema": f"""{_with(*_PARSED)}select cast(epoch({_LOG_TIME}) as bigint) as "timestamp",
+        remote as client_ip, method, path, {_leading_int('code', 'int')} as status,
+        {_leading_int('size', 'bigint')} as bytes_sent, agent as user_agent, referer,
+        '{values.LOG_TYPE}' as log_type, coalesce(nullif(protocol, ''), 'TCP') as protocol,
+        coalesce(try_cast(port as int), 80) as port, coalesce(nullif(request_type, ''), 'HTTP') as request_type
+        from parsed""",
     "parse_clf_time": f"""{_with(*_PARSED)}select event_id, cast(epoch({_LOG_TIME}) as bigint) as epoch,
         {_ISO.format(_LOG_TIME)} as iso from parsed""",
     "encode_json_events": f"{_with(*_ENCODED)}select event_id, value from encoded",
@@ -416,8 +422,7 @@ ORACLES: dict[str, str] = {
     "avg_gauge": f"{_FOUND}select round(avg(bot_probability), 6) as average from found",
     "recent_range": f"""{_with(SPARSE)}select event_id, cast(floor(epoch(ts)) as bigint) as "timestamp" from logs
         where ts >= (select max(ts) from logs) - interval 7 days""",
-    "status_distribution": f"""{_with(SPARSE)}select status, count(*) as row_count from logs group by 1
-        order by 2 desc, 1 limit 100""",
+    "status_distribution": f"""{_with(SPARSE)}select status, count(*) as row_count from logs where status is not null group by 1""",
     "error_rate_over_time": f"""{_with(DENSE)}select {_ends(60, f'''count(*) as request_count,
         round(avg({_flag('status >= 400')}), 6) as error_rate''')} from logs group by 1, 2""",
     "top_bot_paths": _BOT_PATHS,

@@ -17,6 +17,11 @@ LOG_EVENT = T.StructType([
     T.StructField("request_type", T.StringType()),
 ])
 
+# The log table of the store: messages carry the time as text, the table as a timestamp.
+STORED_EVENT = T.StructType([
+    T.StructField(f.name, T.TimestampType() if f.name == "timestamp" else f.dataType) for f in LOG_EVENT.fields
+])
+
 RULE_DETECTION = T.StructType([
     T.StructField("window_start", T.TimestampType()),
     T.StructField("window_end", T.TimestampType()),

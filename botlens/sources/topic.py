@@ -14,7 +14,7 @@ def topic_options(settings: Settings) -> dict[str, str]:
         "kafka.bootstrap.servers": settings.kafka.bootstrap_servers,
         "subscribe": settings.kafka.topic,
         "startingOffsets": settings.kafka.starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(settings.kafka.fail_on_data_loss).lower(),
     }
     if settings.streaming.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(settings.streaming.max_offsets_per_trigger)

@@ -49,6 +49,15 @@ def start_external(
     return _writer(rows, "update", settings, name, once).format(sink).options(**options).start()
 
 
+def start_lines(
+    lines: DataFrame, settings: Settings, name: str, path: str, once: bool = False
+) -> StreamingQuery:
+    """Append text lines to a folder, each once; needs ``checkpoint.location``."""
+    if not settings.checkpoint.location:
+        raise ValueError("a folder of lines needs checkpoint.location")
+    return _writer(lines, "append", settings, name, once).format("text").option("path", path).start()
+
+
 class DetectionStore:
     """Detections of a stream as Parquet, in one folder per day, run and batch.
 

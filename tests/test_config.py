@@ -39,3 +39,10 @@ def test_bad_weights_and_thresholds():
         Weights(0.5, 0.5, 0.5)
     with pytest.raises(ValueError):
         SENSITIVE.override({"detection": {"burst_threshold": 0}})
+
+
+def test_unknown_settings_are_errors():
+    with pytest.raises(ValueError, match="burst_treshold"):
+        SENSITIVE.override({"detection": {"burst_treshold": 3}})
+    assert SENSITIVE.override({"elasticsearch": {"host": "x"}}) == SENSITIVE
+    assert STANDARD.streaming.max_offsets_per_trigger is None

@@ -48,18 +48,23 @@ def test_oversampling(training):
     assert repeated.select("detection_id", "copy").distinct().count() == repeated.count()
 
 
-def test_interpolated_rows_lie_between_rows_of_their_class(training):
+def test_every_minority_row_makes_its_copies(training):
     rows = with_detection_id(training)
-    made = learning.interpolate_minority(rows, "detection_id", copies=2, group_size=20)
-    again = learning.interpolate_minority(rows.repartition(5), "detection_id", copies=2, group_size=20)
-    assert made.exceptAll(again).count() == 0
     bots = rows.where("label = 1")
-    assert 0 < made.count() <= 2 * bots.count()
-    assert made.select("detection_id").distinct().count() == made.count()
+    for copies in (1, 2, 5):
+        made = learning.interpolate_minority(rows, "detection_id", copies=copies)
+        assert made.count() == copies * bots.count()
+        assert made.select("detection_id").distinct().count() == made.count()
+    made = learning.interpolate_minority(rows, "detection_id", copies=3)
+    for pieces in (1, 7, 1000):
+        again = learning.interpolate_minority(rows.repartition(5), "detection_id", copies=3, pieces=pieces)
+        assert made.exceptAll(again).count() == again.exceptAll(made).count() == 0
     for name in ("requests_per_ip", "avg_payload_per_ip"):
         low, high = bots.agg(F.min(name), F.max(name)).first()
         assert made.where(~F.col(name).between(low, high)).count() == 0
     assert made.where(~F.col("ua_is_tool").isin(0.0, 1.0)).count() == 0
+    alone = learning.interpolate_minority(bots.orderBy("detection_id").limit(1), "detection_id", copies=2)
+    assert alone.count() == 2 and alone.select("requests_per_ip").distinct().count() == 1
 
 
 def test_forest_learns_the_labels(training, model):

@@ -1,4 +1,5 @@
 import random
+import threading
 from dataclasses import replace
 
 import pytest
@@ -267,6 +268,32 @@ def test_job_from_the_command_line(spark, tmp_path):
     assert (row.client_ip, row.request_count, row.is_bot) == ("1.2.3.4", 12, True)
 
 
+def test_a_job_counts_and_keeps_what_it_cannot_use(spark, tmp_path, caplog):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    good = '1.2.3.4 - - [{}] "GET / HTTP/1.1" 404 5 "-" "curl/8"\n'
+    (logs / "access.log").write_text(good.format("10/Oct/2024:13:55:36 +0000") + good.format("no time") + "garbage\n")
+    config = tmp_path / "s.json"
+    config.write_text('{"checkpoint": {"location": "%s"}, "streaming": {"max_files_per_trigger": 1}}' % (tmp_path / "cp"))
+    aside = str(tmp_path / "aside")
+    jobs.main(["rule", "--logs", str(logs), "--config", str(config), "--store", str(tmp_path / "store"), "--quarantine", aside, "--once"])
+    assert [r.value for r in spark.read.text(aside).collect()] == ["garbage"]
+    assert jobs.losses({"received": {"n": 3}, "decoded": {"n": 2, "without_time": 1}}) == {"unparsed": 1, "without_time": 1}
+    assert jobs.losses({}) == {}
+
+
+def test_a_query_stops_between_batches(spark, feed, settings, make_events, tmp_path):
+    feed(make_events({"at": 0}))
+    store = sinks.DetectionStore(str(tmp_path / "store"), "stopped")
+    query = store.start(jobs.rule_stream(feed.stream(), settings), settings, "update")
+    query.processAllAvailable()
+    stopping = threading.Event()
+    stopping.set()
+    jobs.await_end(query, stopping)
+    assert not query.isActive and query.exception() is None
+    assert store.read(spark).count() == 3
+
+
 def test_arrival_windows_on_streams(spark, feed, make_events, request):
     from botlens.operators.arrivals import arrival_windows, request_gaps
 

@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from datetime import timedelta
 from statistics import stdev
 
 import pytest
@@ -217,6 +218,25 @@ def test_bot_paths_against_brute_force(make_events):
     assert spans and found == dict(want)
 
 
+@pytest.mark.parametrize("duration, slide", [(30, 20), (45, 10), (30, 30)])
+def test_bot_paths_of_any_window_and_slide(make_events, duration, slide):
+    rng = random.Random(duration)
+    requests = [{"id": i, "at": rng.randrange(0, 300), "ip": rng.choice(["a", "b"]), "path": rng.choice("xyz")} for i in range(200)]
+    requests.append({"id": 999, "at": duration - 5, "ip": "a", "path": "tail"})
+    events = make_events(*requests)
+    spans = [("a", 0, duration), ("b", 2 * slide, 2 * slide + duration), ("a", 3 * slide, 3 * slide + duration)]
+    bots = events.sparkSession.createDataFrame(
+        [(ip, START + timedelta(seconds=low), START + timedelta(seconds=high)) for ip, low, high in spans],
+        "client_ip string, window_start timestamp, window_end timestamp",
+    )
+    want = defaultdict(int)
+    for r in requests:
+        if any(ip == r["ip"] and low <= r["at"] < high for ip, low, high in spans):
+            want[r["path"]] += 1
+    found = report.top_bot_paths(events, bots, f"{slide} seconds", duration=f"{duration} seconds").collect()
+    assert {r.path: r.request_count for r in found} == dict(want)
+
+
 def test_recent_and_pages(make_events):
     events = make_events(*[{"id": i, "at": i * 86400} for i in range(12)])
     assert report.recent(events, "timestamp").count() == 8
