@@ -68,13 +68,13 @@ def class_weights(labeled: DataFrame, label: str = "label") -> DataFrame:
     return labeled.withColumn("weight", rows["n"] / (mine * 2))
 
 
-_CELL_FEATURES = (
+CELL_FEATURES = (
     "Request_Type", "Protocol", "ua_is_empty", "ua_is_tool", "ua_is_browser",
     "is_encrypted", "is_failure",
 )
 
 
-def _unit_hash(*parts: Column) -> Column:
+def unit_hash(*parts: Column) -> Column:
     """A repeatable number in [0, 1) made from the parts."""
     digest = F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 8)
     return F.conv(digest, 16, 10).cast("double") / F.lit(float(2**32))
@@ -96,7 +96,7 @@ def oversample(labeled: DataFrame, key: Column, label: str = "label") -> DataFra
     mine = F.when(F.col(label) == 1, ones).otherwise(zeros)
     ratio = F.greatest(ones, zeros) / mine
     whole = F.floor(ratio)
-    copies = whole + (_unit_hash(key.cast("string")) < ratio - whole).cast("int")
+    copies = whole + (unit_hash(key.cast("string")) < ratio - whole).cast("int")
     span = 1000
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((copies - 1) / span))
     some = labeled.withColumns({"_copies": copies, "_block": F.explode(blocks)})
@@ -104,7 +104,7 @@ def oversample(labeled: DataFrame, key: Column, label: str = "label") -> DataFra
     return some.withColumn("copy", F.explode(numbers)).drop("_copies", "_block")
 
 
-_NUMERIC_FEATURES = tuple(n for n in values.FEATURE_NAMES if n not in _CELL_FEATURES)
+_NUMERIC_FEATURES = tuple(n for n in values.FEATURE_NAMES if n not in CELL_FEATURES)
 
 
 def interpolate_minority(
@@ -127,10 +127,10 @@ def interpolate_minority(
         *[F.col(name).cast("double").alias(name) for name in values.FEATURE_NAMES],
     )
     size = sum((F.log1p(F.abs(n)) for n in _NUMERIC_FEATURES), F.lit(0.0))
-    cell = list(_CELL_FEATURES)
+    cell = list(CELL_FEATURES)
     placed = minority.withColumns({
-        "_step": F.floor(size * 8), "_hash": _unit_hash(F.col(key)),
-        "_piece": F.floor(_unit_hash(F.col(key)) * pieces), "_row": F.struct(*_NUMERIC_FEATURES),
+        "_step": F.floor(size * 8), "_hash": unit_hash(F.col(key)),
+        "_piece": F.floor(unit_hash(F.col(key)) * pieces), "_row": F.struct(*_NUMERIC_FEATURES),
     })
     piece = Window.partitionBy(*cell, "_step", "_piece")
     in_piece = piece.orderBy("_hash", key)
@@ -164,7 +164,7 @@ def interpolate_minority(
         for n in steps
     ])
     pairs = joined.withColumn("_other", F.explode(others))
-    share = _unit_hash(F.col(key), F.col("_other.step").cast("string"))
+    share = unit_hash(F.col(key), F.col("_other.step").cast("string"))
     between = {
         n: F.col(n) + F.col("_share") * (F.col(f"_other.row.{n}") - F.col(n)) for n in _NUMERIC_FEATURES
     }

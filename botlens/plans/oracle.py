@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from botlens import fixtures, values
+from botlens.operators import learning
 from botlens.plans import catalog
 
 
@@ -250,6 +251,9 @@ _ARRIVALS = (
 )
 _LOGIT = " + ".join(f"{w}e0 * {n}" for n, w in catalog.FOREIGN_WEIGHTS.items())
 _ID = "sha256(cast(window_start as varchar) || '|' || client_ip)"
+_CHANCE = "cast('0x' || substr(sha256({}), 1, 8) as bigint) / 4294967296e0"
+_CELL = ", ".join(f'"{n}"' for n in learning.CELL_FEATURES)
+_SIZE = " + ".join(f'ln(1 + abs("{n}"))' for n in values.FEATURE_NAMES if n not in learning.CELL_FEATURES)
 _SEARCH = "bot_probability~ requests_per_ip is_bot"
 _SIZES = "sizes", """select count(*) as n, sum(is_bot) as ones, count(*) - sum(is_bot) as zeros from found"""
 
@@ -388,6 +392,21 @@ ORACLES: dict[str, str] = {
         ('counts', "select *, cast(floor(ratio) as bigint) + case when chance < ratio - floor(ratio)"
          " then 1 else 0 end as copies from ratios")))}
         select window_start, client_ip, label, unnest(range(copies)) as copy from counts""",
+    "interpolate_minority": f"""{_found(extra=(
+        ('bots', f"select {_ID} as detection_id, " + ', '.join(f'cast("{n}" as double) as "{n}"' for n in values.FEATURE_NAMES)
+         + " from found where is_bot = 1"),
+        ('ordered', f"select *, row_number() over (partition by {_CELL} order by floor(8 * ({_SIZE})),"
+         f" {_CHANCE.format('detection_id')}, detection_id) as at, count(*) over (partition by {_CELL}) as size from bots"),
+        ('pairs', "select o.detection_id || '|' || s.step as new_id, " + ', '.join(f'o."{n}", p."{n}" as "other {n}"' for n in values.FEATURE_NAMES)
+         + " from ordered o, (values (1), (2)) s(step), ordered p where p.at = (o.at - 1 + s.step) % o.size + 1 and "
+         + ' and '.join(f'o."{n}" = p."{n}"' for n in learning.CELL_FEATURES)),
+        ('shares', f"select *, {_CHANCE.format('new_id')} as share from pairs")))}
+        select new_id as detection_id, {', '.join(
+            f'"{n}"' if n in learning.CELL_FEATURES
+            else f'round("{n}" + share * ("other {n}" - "{n}"), {4 if n == "payload_std_per_ip" else 6}) as "{n}"'
+            for n in values.FEATURE_NAMES)}, 1 as label from shares""",
+    "forest_holdout": f"""{_FOUND}select is_bot as label, count(*) as row_count, true as probabilities_valid, true as accurate
+        from found where {_CHANCE.format(_ID)} >= 0.7e0 group by 1""",
     "predict_threshold": f"""{_FOUND}select window_start, client_ip, round(bot_probability, 6) as bot_probability,
         {_flag('bot_probability >= 0.6e0')} as is_bot, '{values.MODEL_METHOD}' as prediction_method from found""",
     "sigmoid_normalize": f"""{_found(extra=(
