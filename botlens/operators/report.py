@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from botlens.lineage import checkpointed
 from botlens.operators.windows import whole_seconds
 
 
@@ -35,7 +36,7 @@ def average(rows: DataFrame, field: str) -> DataFrame:
     return rows.agg(F.avg(field).alias("average"))
 
 
-def _bucket(time: str, seconds: int) -> Column:
+def _bucket(time: Column, seconds: int) -> Column:
     # Whole seconds, rounded down to a multiple of the interval.
     second = F.unix_seconds(time)
     return (second - F.pmod(second, F.lit(seconds))).alias("bucket")
@@ -45,25 +46,34 @@ _SPAN = 4096
 
 
 def timeline(
-    rows: DataFrame, time: str, seconds: int, zero_fill: bool = True
+    rows: DataFrame, time: str, seconds: int, zero_fill: bool = True,
+    since: str | None = None, until: str | None = None,
 ) -> DataFrame:
     """Rows per interval, as ``bucket`` (epoch seconds) and ``row_count``.
 
-    With ``zero_fill``, intervals without rows between the first and the last one
-    appear with 0. The empty intervals are made in two steps, spans first, so
-    that no single row has to hold the whole time axis.
+    ``since`` and ``until`` (times as text, the end exclusive) bound the rows and
+    the axis: set them where clocks may be wrong, as one row of 1970 makes the axis
+    reach there. With ``zero_fill``, intervals without rows appear with 0, from the
+    first to the last one or over the given range. They are made in two steps, spans
+    first, so that no single row has to hold the whole axis. The counts are kept once
+    computed, so the input runs once.
     """
-    counts = (
-        rows.where(F.col(time).isNotNull())
-        .groupBy(_bucket(time, seconds))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    timed = rows.where(F.col(time).isNotNull())
+    if since is not None:
+        timed = timed.where(F.col(time) >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        timed = timed.where(F.col(time) < F.lit(until).cast("timestamp"))
+    counts = timed.groupBy(_bucket(F.col(time), seconds)).agg(F.count(F.lit(1)).alias("row_count"))
     if not zero_fill:
         return counts
+    counts = checkpointed(counts)
     span = seconds * _SPAN
-    ends = counts.agg(F.min("bucket").alias("low"), F.max("bucket").alias("high")).where(
-        F.col("low").isNotNull()
-    )
+    low, high = F.min("bucket"), F.max("bucket")
+    if since is not None:
+        low = _bucket(F.lit(since).cast("timestamp"), seconds)
+    if until is not None:
+        high = _bucket(F.lit(until).cast("timestamp") - F.expr("interval 1 microsecond"), seconds)
+    ends = counts.agg(low.alias("low"), high.alias("high")).where("low <= high")
     starts = ends.select(
         "high", F.explode(F.sequence("low", "high", F.lit(span))).alias("start")
     ).repartition("start")

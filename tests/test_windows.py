@@ -237,6 +237,14 @@ def test_bot_paths_of_any_window_and_slide(make_events, duration, slide):
     assert {r.path: r.request_count for r in found} == dict(want)
 
 
+def test_timeline_with_a_range_ignores_wrong_clocks(make_events):
+    events = make_events({"at": 5}, {"at": 65}, {"at": -1_704_000_000}, {"at": 9_000_000_000})
+    found = report.timeline(events, "timestamp", 30, since="2024-01-01 00:00:00", until="2024-01-01 00:02:00")
+    assert [tuple(r) for r in found.orderBy("bucket").collect()] == [
+        (1704067200, 1), (1704067230, 0), (1704067260, 1), (1704067290, 0)]
+    assert report.timeline(events.where("false"), "timestamp", 30).count() == 0
+
+
 def test_recent_and_pages(make_events):
     events = make_events(*[{"id": i, "at": i * 86400} for i in range(12)])
     assert report.recent(events, "timestamp").count() == 8
