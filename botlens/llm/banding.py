@@ -2,79 +2,96 @@
 
 Two sets are candidates if they share a band key. Pairs within a bucket are never all written out:
 
-1. every member of a bucket is compared with the bucket's smallest one;
-2. components of the links found so far are numbered;
-3. where a bucket still holds several components, members of different components are compared.
-   Buckets of more than ``large`` members are first split by a second shared band key, which a pair
-   at the threshold misses with a chance below one in ten thousand.
-
-All pairs that share a bucket therefore end up compared or in one component, so no link between
-components is lost, while a bucket of near copies costs a row per member.
+1. in every bucket the node of the lowest rank leads; each node is compared with the leader that it
+   shares most buckets with, one pair a node;
+2. components of these links are numbered, and buckets that hold one component only are done;
+3. in the others, members of different components are compared. Buckets of more than ``many``
+   components are first split by a second shared band key, which a pair at the threshold misses with
+   a chance below one in ten thousand.
+
+Pairs that share a bucket end up compared or in one component, so no link between components is lost,
+while a bucket of near copies costs a row a member. A sketch of single signature bits, where there is
+one, drops hopeless pairs before the exact check.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from botlens.llm.common import saved
+from botlens.llm.common import discard, saved
 from botlens.llm.components import components
 
+Check = Callable[[Column, Column], Column]
 
-def shared_buckets(classes: DataFrame) -> DataFrame:
-    """``key, node, low`` for members of buckets with two or more nodes; ``classes`` has node, keys."""
-    entries = classes.select("node", F.explode("keys").alias("key"))
-    ends = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    joined = entries.join(ends.where("low < high"), "key", "left")
-    several = F.coalesce("low", "node") < F.coalesce("high", "node")
-    return joined.where(several).select("key", "node", "low")
 
+def _by_bucket(nodes: DataFrame, value: str) -> DataFrame:
+    """node, value, key and least (of the bucket's values), for buckets with two values or more.
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """``a, b``: every member with the smallest of its bucket."""
-    return shared.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-
-
-def _several(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component, with the bucket's size."""
-    ends = members.groupBy("key").agg(
-        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("members")
-    )
-    return members.join(ends.where("first < last").select("key", "members"), "key")
-
-
-def cross_pairs(shared: DataFrame, labels: DataFrame, classes: DataFrame, large: int) -> DataFrame:
-    """``a, b``: pairs of one bucket in different components."""
-    labelled = shared.select("key", "node").distinct().join(labels, "node", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "node"))
-    members = saved(_several(labelled))
-    small = members.where(F.col("members") <= large).select("key", "node", "component")
-    big = members.where(F.col("members") > large)
-    second = classes.select("node", F.explode("keys").alias("second"))
+    An outer join whose filter stands above it: a row for every node and key, whatever the sharing.
+    """
+    entries = nodes.select("node", F.col(value).alias("value"), F.explode("keys").alias("key"))
+    ends = entries.groupBy("key").agg(F.min("value").alias("least"), F.max("value").alias("most")).where("least < most")
+    joined = entries.join(ends, "key", "left")
+    return joined.where(F.coalesce("least", "value") < F.coalesce("most", "value")).select("key", "node", "value", "least")
+
+
+def leaders(nodes: DataFrame) -> DataFrame:
+    """``a, b``: each node b of a shared bucket with the leader that it meets most often; leaders that
+    follow no other come with a null ``a``."""
+    entries = nodes.select("node", "rank", F.explode("keys").alias("key"))
+    ends = entries.groupBy("key").agg(
+        F.min_by("node", "rank").alias("lead"), F.min("node").alias("least"), F.max("node").alias("most")
+    ).where("least < most")
+    joined = entries.join(ends.select("key", "lead"), "key", "left")
+    # Nothing is filtered before the counts, so the outer join has a row for every node and key.
+    met = joined.groupBy("node", "lead").agg(F.count("*").alias("times"))
+    other = F.when(F.col("lead") != F.col("node"), F.struct("times", F.col("lead").alias("a")))
+    best = met.groupBy("node").agg(F.max(other).alias("best"), F.count("lead").alias("leads"))
+    return best.where("leads > 0").select(F.col("best.a").alias("a"), F.col("node").alias("b"))
+
+
+def cross_pairs(nodes: DataFrame, labels: DataFrame, plausible: Check | None, many: int) -> DataFrame:
+    """``a, b``: pairs of one bucket in different components; ``nodes`` has node, keys and a sketch."""
+    labelled = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = saved(_by_bucket(labelled, "component").select("key", "node", F.col("value").alias("component")))
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    crowded = sizes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    few = members.join(crowded, "key", "left_anti")
+    second = nodes.select("node", F.explode("keys").alias("second"))
     split = (
-        big.join(second, "node").where("second > key")
+        members.join(crowded, "key", "left_semi").join(second, "node").where("second > key")
         .select(F.xxhash64("key", "second").alias("key"), "node", "component")
     )
-    pieces = small.union(_several(split).select("key", "node", "component"))
-    other = pieces.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    met = pieces.join(other, "key").where("node < b and component <> other")
-    return met.select(F.col("node").alias("a"), "b").distinct()
-
-
-def linked(classes: DataFrame, verify: Callable[[DataFrame], DataFrame], shared: DataFrame,
-           large: int = 64) -> DataFrame:
+    sketches = nodes.select("node", "sketch")
+    pieces = saved(few.union(split).join(sketches, "node"))
+    sizes = pieces.groupBy("key", "component").agg(F.count("*").alias("size"))
+    order = F.struct("size", "component")
+    small = sizes.select("key", F.col("component").alias("from"), order.alias("o1"))
+    big = sizes.select("key", F.col("component").alias("to"), order.alias("o2"))
+    meetings = small.join(big, "key").where("o1 < o2").select("key", "from", "to")
+    left = pieces.select("key", F.col("component").alias("from"), F.col("node").alias("x"), F.col("sketch").alias("sx"))
+    right = pieces.select("key", F.col("component").alias("to"), F.col("node").alias("y"), F.col("sketch").alias("sy"))
+    pairs = meetings.join(left, ["key", "from"]).join(right, ["key", "to"])
+    if plausible is not None:
+        pairs = pairs.where(plausible(F.col("sx"), F.col("sy")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], first: DataFrame,
+           plausible: Check | None = None, many: int = 64) -> DataFrame:
     """``node, component`` of all nodes but the smallest of each component.
 
-    ``verify`` keeps the pairs ``a, b`` that are similar enough; ``shared`` is a saved table of
-    :func:`shared_buckets`.
+    ``nodes`` has node, rank, keys and sketch (null if there is none); ``verify`` keeps the pairs ``a, b``
+    that are similar enough; ``first`` is a saved table of :func:`leaders`.
     """
-    stars = star_pairs(shared)
-    links = saved(verify(stars))
+    tried = first.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = saved(verify(tried))
     labels = components(links)
-    more = verify(cross_pairs(shared, labels, classes, large).join(stars, ["a", "b"], "left_anti"))
-    more = saved(more)
+    more = saved(verify(cross_pairs(nodes, labels, plausible, many).join(tried, ["a", "b"], "left_anti")))
     if more.isEmpty():
         return labels
+    discard(labels)
     return components(links.union(more))

@@ -2,8 +2,8 @@
 
 A document's set holds its distinct shingles of five words, lower-cased A-Z; a shorter one is a
 single shingle. Documents with equal sets are one class, represented by its smallest doc_id.
-Sixty-four bands of six coordinates give a pair at the threshold of 0.75 a chance of 4 in a million
-to be missed; every candidate is confirmed on the full sets.
+Forty bands of five coordinates give a pair at the threshold of 0.75 a chance of 2 in 100,000 to be
+missed; every candidate is confirmed on the full sets.
 
 Defined results: texts that are null, empty or blank have no shingle and no link. Rows that share a
 doc_id are one document, linked with whatever any of them is linked with. Rows without doc_id point
@@ -17,14 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botlens.llm import hashing
-from botlens.llm.banding import linked, shared_buckets
-from botlens.llm.common import arrow_column, row_blocks, saved, text_bytes
+from botlens.llm.banding import leaders, linked
+from botlens.llm.common import arrow_column, discard, fresh, row_blocks, saved, text_bytes
 
-WORDS, BANDS, ROWS = 5, 64, 6
+WORDS, BANDS, ROWS = 5, 40, 5
+#: Coordinates whose lowest bits are the sketch. At the threshold 32 of 256 differ on average, with a
+#: deviation of 5.3; pairs that differ in more than ``MOST_APART`` are not checked (six deviations and more).
+SKETCH, MOST_APART = 256, 68
 _BLOCK = 1 << 20
 
 
@@ -47,7 +50,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-_FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>"
+_FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>, sketch array<bigint>"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,14 +61,17 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums.append((hashing.mix(shingles, 1).sum(dtype=np.uint64), hashing.mix(shingles, 2).sum(dtype=np.uint64)))
             filled.append(len(shingles) > 0)
             if len(shingles):
-                signatures.append(hashing.signature(shingles, BANDS * ROWS))
-        keys = hashing.band_keys(np.array(signatures, np.int32).reshape(-1, BANDS * ROWS), BANDS)
-        ends = np.concatenate(([0], np.cumsum(filled) * BANDS)).astype(np.int32)
+                signatures.append(hashing.signature(shingles, SKETCH))
+        signed = np.array(signatures, np.int32).reshape(-1, SKETCH)
+        keys = hashing.band_keys(signed[:, : BANDS * ROWS], BANDS)
+        bits = np.packbits(signed & 1, axis=1).view(np.int64)
+        ends = np.concatenate(([0], np.cumsum(filled))).astype(np.int32)
         pair = np.array(sums, np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1]),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-            names=["doc_id", "n_shingles", "set_a", "set_b", "keys"],
+             pa.ListArray.from_arrays(pa.array(ends * BANDS), pa.array(keys.ravel())),
+             pa.ListArray.from_arrays(pa.array(ends * (SKETCH // 64)), pa.array(bits.ravel()))],
+            names=["doc_id", "n_shingles", "set_a", "set_b", "keys", "sketch"],
         )
 
 
@@ -75,6 +81,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), sets], names=["node", "shingles"])
 
 
+def _plausible(x: Column, y: Column) -> Column:
+    words = range(SKETCH // 64)
+    return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in words), F.lit(0)) <= MOST_APART
+
+
 def _similar(percent: int):
     def run(left: list, right: list) -> list:
         out = []
@@ -100,13 +111,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
     features = saved(texts.mapInArrow(_features, _FEATURES))
     same = ["n_shingles", "set_a", "set_b"]
     classes = features.where("n_shingles > 0").groupBy(same).agg(F.min("doc_id").alias("node"))
+    own = F.col("doc_id") == F.col("node")
     members = saved(
         features.join(classes, same, "left")
-        .select("doc_id", "n_shingles", "node", F.when(F.col("doc_id") == F.col("node"), F.col("keys")).alias("keys"))
+        .select("doc_id", "n_shingles", "node", F.when(own, F.col("keys")).alias("keys"), F.when(own, F.col("sketch")).alias("sketch"))
     )
-    nodes = members.where("keys is not null").select("node", "keys")
-    shared = saved(shared_buckets(nodes))
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
+    discard(features)
+    nodes = members.where("keys is not null").select("node", F.col("node").alias("rank"), "keys", "sketch").dropDuplicates(["node"])
+    first = saved(leaders(nodes))
+    wanted = first.select(F.col("b").alias("doc_id"))
     sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node bigint, shingles binary"))
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -115,7 +128,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
         both = pairs.join(left, "a").join(right, "b")
         return both.where(arrow_column(_similar(percent), "boolean")(F.col("left"), F.col("right"))).select("a", "b")
 
-    labels = linked(nodes, verify, shared)
+    labels = linked(nodes, verify, first, _plausible)
     found = members.join(labels, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return found.select(
@@ -126,5 +139,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
 def one_of_each(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents of which no near copy with a smaller id exists, with all their columns."""
     gone = near_duplicates(docs, percent, id_column, text_column).where("not kept and doc_id is not null")
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")
+    name = fresh(docs, "gone")
+    gone = gone.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(id_column) == F.col(name), "left_anti")
