@@ -59,7 +59,7 @@ _BLOCK, _LONG = 1 << 16, 1 << 12
 #: Bytes of a long word that are merged at a time, besides the lookahead.
 _WINDOW = 512
 #: Words whose tokens are remembered.
-_REMEMBERED = 1_000_000
+_REMEMBERED = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:

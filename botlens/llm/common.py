@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+#: Rows that are Python objects at a time.
+_ROWS = 512
 #: Upper case to lower case, A-Z only.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -58,7 +60,10 @@ def arrow_column(function: Callable[[list], list], kind: str) -> Callable[..., C
     arrow_type = to_arrow_type(returned)
 
     def batch(*columns: pa.Array) -> pa.Array:
-        return pa.array(function(*(c.to_pylist() for c in columns)), arrow_type)
+        # A few rows at a time: a batch of long texts is not doubled as Python objects.
+        starts = range(0, len(columns[0]), _ROWS)
+        parts = [pa.array(function(*(c.slice(i, _ROWS).to_pylist() for c in columns)), arrow_type) for i in starts]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow_type)
 
     return lambda *columns: F.arrow_udf(_typed(batch, len(columns)), returned)(*columns)
 

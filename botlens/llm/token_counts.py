@@ -31,7 +31,7 @@ from botlens.llm.common import arrow_column, fresh
 MARK, UNKNOWN_COST = "▁", 10.0
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Chunks up to this length have their counts remembered, this many of them.
-_SHORT, _REMEMBERED = 40, 1_000_000
+_SHORT, _REMEMBERED = 40, 300_000
 
 
 class Pieces:

@@ -163,9 +163,10 @@ def test_pipeline_stages(spark, tmp_path):
     sentence = lambda n: " ".join("".join(draw.choices("abcdefgh", k=draw.randint(2, 7))) for _ in range(n))
     passage, shared = sentence(30), sentence(60)
     clean = [sentence(40) + "\n" + sentence(30) for _ in range(6)]
-    near = sentence(200)
+    near = sentence(200).split()
+    in_lines = lambda n: "\n".join(" ".join(near[i : i + n]) for i in range(0, 200, n))
     texts = [
-        *clean, near + " one", near + " two", "short text", "# $ % " * 30, clean[0] + " " + passage, sentence(50) + "\n" + shared, sentence(50) + "\n" + shared, None,
+        *clean, in_lines(17), in_lines(41), "short text", "# $ % " * 30, clean[0] + " " + passage, sentence(50) + "\n" + shared, sentence(50) + "\n" + shared, None,
     ]
     folder = str(tmp_path / "t")
     frame = spark.createDataFrame([(i, t, "en", "s", 1, "extra") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint, made string")
