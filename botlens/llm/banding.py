@@ -6,18 +6,21 @@ Two sets are candidates if they share a band key. Pairs within a bucket are neve
    shares most buckets with, one pair a node;
 2. components of these links are numbered, and buckets that hold one component only are done;
 3. in the others, members of different components are compared. Buckets of more than ``many``
-   components are first split by a second shared band key, which a pair at the threshold misses with
-   a chance below one in ten thousand.
+   components are first split by shingles, which is exact: shingles are ordered, rare ones first, and of
+   two sets of the wanted similarity the first common shingle is within both sets' prefixes (all but
+   the needed overlap less one), where sizes and places leave room for the overlap.
 
-Pairs that share a bucket end up compared or in one component, so no link between components is lost,
-while a bucket of near copies costs a row a member. A sketch of single signature bits, where there is
+Pairs that share a bucket end up compared, excluded by their sets, or in one component, so no link
+between components is lost, while a bucket of near copies costs a row a member. A sketch of single signature bits, where there is
 one, drops hopeless pairs before the exact check.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,10 @@ from botlens.llm.common import discard, saved
 from botlens.llm.components import components
 
 Check = Callable[[Column, Column], Column]
+#: Sorted distinct shingles of each row of a column.
+Shingles = Callable[[pa.Array], list[np.ndarray]]
+#: Shingles are counted in so many slots by their lowest bits; any counts give a valid order.
+_SLOTS = 1 << 18
 
 
 def _by_bucket(nodes: DataFrame, value: str) -> DataFrame:
@@ -53,20 +60,69 @@ def leaders(nodes: DataFrame) -> DataFrame:
     return best.where("leads > 0").select(F.col("best.a").alias("a"), F.col("node").alias("b"))
 
 
-def cross_pairs(nodes: DataFrame, labels: DataFrame, plausible: Check | None, many: int) -> DataFrame:
+def _rarity(sets: DataFrame, shingles: Shingles) -> np.ndarray:
+    """How many sets have a shingle of each slot."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            for found in shingles(batch.column(1)):
+                np.add.at(total, (found & np.uint64(_SLOTS - 1)).astype(np.int64), 1)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], names=["slot", "n"])
+
+    rows = sets.mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(_SLOTS, np.int64)
+    out[rows["slot"].to_numpy()] = rows["n"].to_numpy()
+    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _prefixes(sets: DataFrame, shingles: Shingles, percent: int) -> DataFrame:
+    """node, size of its set, and place and shingle of its prefix in the order of rarity."""
+    rarity = _rarity(sets, shingles)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, firsts = [], [np.zeros(0, np.uint64)]
+            for found in shingles(batch.column(1)):
+                order = np.lexsort((found, rarity[(found & np.uint64(_SLOTS - 1)).astype(np.int64)]))
+                sizes.append(len(found))
+                firsts.append(found[order[: len(found) - (percent * len(found) + 99) // 100 + 1]])
+            counts = np.array([len(f) for f in firsts[1:]], np.int64)
+            row = np.repeat(np.arange(len(counts)), counts)
+            places = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(np.array(sizes, np.int64)[row]), pa.array(places),
+                 pa.array(np.concatenate(firsts).view(np.int64))],
+                names=["node", "size", "place", "shingle"],
+            )
+
+    return sets.mapInArrow(prefix, "node bigint, size bigint, place bigint, shingle bigint")
+
+
+def _crowded_pairs(members: DataFrame, nodes: DataFrame, sets: DataFrame, shingles: Shingles, percent: int) -> DataFrame:
+    """``x, y, sx, sy``: members of one bucket in different components that can be similar enough."""
+    there = sets.join(members.select("node").distinct(), "node", "left_semi")
+    prefixes = _prefixes(there, shingles, percent)
+    entries = saved(members.join(prefixes, "node").join(nodes.select("node", "sketch"), "node"))
+    names = {"node": ("x", "y"), "component": ("cx", "cy"), "size": ("nx", "ny"), "place": ("px", "py"), "sketch": ("sx", "sy")}
+    left, right = (entries.select("key", "shingle", *(F.col(n).alias(to[i]) for n, to in names.items())) for i in (0, 1))
+    met = left.join(right, ["key", "shingle"]).where("cx < cy")
+    met = met.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    return met.where((100 + percent) * room >= percent * (F.col("nx") + F.col("ny"))).select("x", "y", "sx", "sy")
+
+
+def cross_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, shingles: Shingles, percent: int,
+                plausible: Check | None, many: int) -> DataFrame:
     """``a, b``: pairs of one bucket in different components; ``nodes`` has node, keys and a sketch."""
     labelled = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = saved(_by_bucket(labelled, "component").select("key", "node", F.col("value").alias("component")))
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
     crowded = sizes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    crowded = saved(crowded)
     few = members.join(crowded, "key", "left_anti")
-    second = nodes.select("node", F.explode("keys").alias("second"))
-    split = (
-        members.join(crowded, "key", "left_semi").join(second, "node").where("second > key")
-        .select(F.xxhash64("key", "second").alias("key"), "node", "component")
-    )
-    sketches = nodes.select("node", "sketch")
-    pieces = saved(few.union(split).join(sketches, "node"))
+    pieces = saved(few.join(nodes.select("node", "sketch"), "node"))
     sizes = pieces.groupBy("key", "component").agg(F.count("*").alias("size"))
     order = F.struct("size", "component")
     small = sizes.select("key", F.col("component").alias("from"), order.alias("o1"))
@@ -74,23 +130,26 @@ def cross_pairs(nodes: DataFrame, labels: DataFrame, plausible: Check | None, ma
     meetings = small.join(big, "key").where("o1 < o2").select("key", "from", "to")
     left = pieces.select("key", F.col("component").alias("from"), F.col("node").alias("x"), F.col("sketch").alias("sx"))
     right = pieces.select("key", F.col("component").alias("to"), F.col("node").alias("y"), F.col("sketch").alias("sy"))
-    pairs = meetings.join(left, ["key", "from"]).join(right, ["key", "to"])
+    pairs = meetings.join(left, ["key", "from"]).join(right, ["key", "to"]).select("x", "y", "sx", "sy")
+    if not crowded.isEmpty():
+        pairs = pairs.union(_crowded_pairs(members.join(crowded, "key", "left_semi"), nodes, sets, shingles, percent))
     if plausible is not None:
         pairs = pairs.where(plausible(F.col("sx"), F.col("sy")))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], first: DataFrame,
-           plausible: Check | None = None, many: int = 64) -> DataFrame:
+def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], first: DataFrame, sets: DataFrame,
+           shingles: Shingles, percent: int, plausible: Check | None = None, many: int = 64) -> DataFrame:
     """``node, component`` of all nodes but the smallest of each component.
 
     ``nodes`` has node, rank, keys and sketch (null if there is none); ``verify`` keeps the pairs ``a, b``
-    that are similar enough; ``first`` is a saved table of :func:`leaders`.
+    that are similar enough; ``first`` is a saved table of :func:`leaders`; ``sets`` has node and a column
+    from which ``shingles`` makes the sets whose Jaccard similarity is to be ``percent`` at least.
     """
     tried = first.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = saved(verify(tried))
     labels = components(links)
-    more = saved(verify(cross_pairs(nodes, labels, plausible, many).join(tried, ["a", "b"], "left_anti")))
+    more = saved(verify(cross_pairs(nodes, labels, sets, shingles, percent, plausible, many).join(tried, ["a", "b"], "left_anti")))
     if more.isEmpty():
         return labels
     discard(labels)

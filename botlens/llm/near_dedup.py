@@ -81,6 +81,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), sets], names=["node", "shingles"])
 
 
+def _unpacked(sets: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(s, np.uint64) for s in sets.to_pylist()]
+
+
 def _plausible(x: Column, y: Column) -> Column:
     words = range(SKETCH // 64)
     return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in words), F.lit(0)) <= MOST_APART
@@ -128,7 +132,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_column: str = "doc_id
         both = pairs.join(left, "a").join(right, "b")
         return both.where(arrow_column(_similar(percent), "boolean")(F.col("left"), F.col("right"))).select("a", "b")
 
-    labels = linked(nodes, verify, first, _plausible)
+    labels = linked(nodes, verify, first, sets, _unpacked, percent, _plausible)
     found = members.join(labels, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return found.select(

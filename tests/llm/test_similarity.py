@@ -3,10 +3,14 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from corpus_fixtures import docs_of, no_docs  # noqa: E402, F401
 
-from botlens.llm import line_dedup, near_dedup
+from pyspark.sql import functions as F
+
+from botlens.llm import banding, line_dedup, near_dedup
+from botlens.llm.common import saved
 from botlens.llm.components import components
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -129,3 +133,30 @@ def test_line_dedup_keeps_one_line_per_component(spark, docs_of, no_docs, seed):
         want = text if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if (r.doc_id, k) not in gone)
         assert r.text == want
     assert line_dedup.line_verdicts(no_docs).count() == 0
+
+
+def test_pairs_of_one_crowded_bucket_are_all_compared(spark):
+    """Several hundred components share one band, and similar ones nothing else."""
+    draw = random.Random(8)
+    sets = []
+    for _ in range(200):
+        own = draw.sample(range(1 << 40), draw.choice([4, 20, 60]))
+        base = list(range(draw.choice([0, 10, 40]))) + own
+        sets.append(set(base))
+        if draw.random() < 0.5:
+            sets.append({*base[: len(base) - len(base) // draw.choice([5, 8, 12])], draw.randrange(1 << 40)})
+    draw.shuffle(sets)
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = roots(len(sets), pairs)
+    assert len(set(want)) > 128 and len(pairs) > 50
+    nodes = spark.createDataFrame([(i, i, [-1, i]) for i in range(len(sets))], "node bigint, rank bigint, keys array<bigint>")
+    nodes = nodes.withColumn("sketch", F.lit(None).cast("bigint"))
+    packed = [(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(packed, "node bigint, shingles binary")
+
+    def verify(pairs):
+        return pairs.where(F.udf(lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]), "boolean")("a", "b"))
+
+    found = banding.linked(nodes, verify, saved(banding.leaders(nodes)), table, near_dedup._unpacked, 75)
+    labels = {r.node: r.component for r in found.collect()}
+    assert [labels.get(i, i) for i in range(len(sets))] == want
