@@ -9,7 +9,7 @@ from corpus_fixtures import docs_of, no_docs  # noqa: E402, F401
 
 from pyspark.sql import functions as F
 
-from botlens.llm import banding, line_dedup, near_dedup
+from botlens.llm import banding, hashing, line_dedup, near_dedup
 from botlens.llm.common import saved
 from botlens.llm.components import components
 
@@ -160,3 +160,22 @@ def test_pairs_of_one_crowded_bucket_are_all_compared(spark):
     found = banding.linked(nodes, verify, saved(banding.leaders(nodes)), table, near_dedup._unpacked, 75)
     labels = {r.node: r.component for r in found.collect()}
     assert [labels.get(i, i) for i in range(len(sets))] == want
+
+
+def test_short_lines_with_one_inner_edit_are_linked(spark, docs_of):
+    draw = random.Random(9)
+    texts = ["".join(draw.sample("abcdefghijklmnopqrstuvwxyz0123456789.,;:-_+", 41)) for _ in range(40)]
+    texts += [t[:20] + "#" + t[21:] for t in texts]
+    rows = {r.doc_id: r.removed_lines for r in line_dedup.line_verdicts(docs_of(texts)).collect()}
+    assert [rows[i] for i in range(80)] == [""] * 40 + ["0"] * 40
+
+
+def test_bands_of_lines_hardly_miss_a_pair_at_the_threshold():
+    numbers = np.random.default_rng(10)
+    missed = 0
+    for _ in range(5000):
+        both = numbers.integers(1 << 63, size=80, dtype=np.uint64)
+        pair = [hashing.signature(s, line_dedup.BANDS * line_dedup.ROWS) for s in (both[:70], both[10:])]
+        keys = hashing.band_keys(np.array(pair), line_dedup.BANDS)
+        missed += not (keys[0] == keys[1]).any()
+    assert missed <= 5
