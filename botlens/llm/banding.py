@@ -5,10 +5,10 @@ Two sets are candidates if they share a band key. Pairs within a bucket are neve
 1. in every bucket the node of the lowest rank leads; each node is compared with the leader that it
    shares most buckets with, one pair a node;
 2. components of these links are numbered, and buckets that hold one component only are done;
-3. in the others, members of different components are compared. Buckets of more than ``many``
-   components are first split by shingles, which is exact: shingles are ordered, rare ones first, and of
-   two sets of the wanted similarity the first common shingle is within both sets' prefixes (all but
-   the needed overlap less one), where sizes and places leave room for the overlap.
+3. in the others, members of different components are compared. Buckets in which more pairs are apart
+   than ``many`` single members have are first split by shingles, which is exact: shingles are ordered,
+   rare ones first, and of two sets of the wanted similarity the first common shingle is within both
+   sets' prefixes (all but the needed overlap less one), where sizes and places leave room for the overlap.
 
 Pairs that share a bucket end up compared, excluded by their sets, or in one component, so no link
 between components is lost, while a bucket of near copies costs a row a member. A sketch of single signature bits, where there is
@@ -119,7 +119,8 @@ def cross_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, shingles:
     labelled = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = saved(_by_bucket(labelled, "component").select("key", "node", F.col("value").alias("component")))
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
-    crowded = sizes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    within = sizes.groupBy("key").agg(F.sum("size").alias("n"), F.sum(F.col("size") * F.col("size")).alias("own"))
+    crowded = within.where(F.col("n") * F.col("n") - F.col("own") > many * many).select("key")
     crowded = saved(crowded)
     few = members.join(crowded, "key", "left_anti")
     pieces = saved(few.join(nodes.select("node", "sketch"), "node"))

@@ -179,3 +179,14 @@ def test_bands_of_lines_hardly_miss_a_pair_at_the_threshold():
         keys = hashing.band_keys(np.array(pair), line_dedup.BANDS)
         missed += not (keys[0] == keys[1]).any()
     assert missed <= 5
+
+
+def test_two_large_components_of_one_bucket_do_not_write_all_pairs(spark):
+    sets = [{*range(60), 1000 + i} for i in range(150)] + [{*range(30, 90), 2000 + i} for i in range(150)] + [{*range(30, 90), 3000}]
+    nodes = spark.createDataFrame([(i, [-1, i]) for i in range(301)], "node bigint, keys array<bigint>")
+    nodes = nodes.withColumn("sketch", F.lit(None).cast("bigint"))
+    labels = spark.createDataFrame([(i, i // 150 * 150) for i in range(300) if i % 150], "node bigint, component bigint")
+    packed = [(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(packed, "node bigint, shingles binary")
+    pairs = banding.cross_pairs(nodes, labels, table, near_dedup._unpacked, 75, None, 64)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(i, 300) for i in range(150, 300)}
