@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from botlens.llm import licenses, warc
+from botlens.llm import hard_negatives, lexical, licenses, warc
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -121,4 +121,6 @@ ORACLES = {
     "op4_warc": warc.ORACLE,
     "op7_quality_rules": QUALITY,
     "op10_near_dedup": NEAR_DUPLICATES,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }

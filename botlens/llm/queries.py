@@ -11,6 +11,8 @@ import corpus_pipeline
 from botlens.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
+    lexical,
     licenses,
     line_dedup,
     near_dedup,
@@ -18,6 +20,7 @@ from botlens.llm import (
     pii,
     quality_pu,
     quality_rules,
+    suffix_dedup,
     token_counts,
     warc,
 )
@@ -65,6 +68,18 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": personal_data,
     "op2_licenses": license_scan,
@@ -76,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": unigram_counts,
     "op9_quality_classifier": quality_scores,
     "op10_near_dedup": near_duplicates,
+    "op11_suffix_dedup": repeated_bytes,
+    "op12_hard_negatives": mined_negatives,
+    "op13_lexical_search": ranked_documents,
     "pipeline": corpus_pipeline.run,
 }
 
