@@ -5,17 +5,17 @@ Texts are their UTF-8 bytes. Every string of ``LENGTH`` bytes has a key: the lea
 that follow one another in a text mostly have theirs from the same place: such a run is a spot. Spots whose key
 stands nowhere else end there; for the others the run's bytes, a region, go to the task of their key.
 
-Equal regions of a key are one string with several places. Over the regions of a key the task sorts the suffixes
-whose first ``LENGTH`` bytes recur, measures the common prefix of neighbours, and scans these with a stack: every
-interval of suffixes with a common prefix of ``LENGTH`` bytes or more is a node of the interval tree. A node whose
-occurrences are preceded by different bytes (or begin a region, where the byte before is another key's matter)
-can't be extended to the left and is a maximal repeat of the region. It is written with the first place of each of
-its children, the first of all of them marked; ``below`` names the child's own node, so that a node's occurrences are
-its rows' and those of the nodes below, each place once (``repeat_groups``). A repeat that is longer than a
-region comes out as overlapping groups, one per key, each with all occurrences; ``removals`` joins them per text.
-
-A key with more than ``_CROWD`` spots does not go to one task: each of its strings is a row then, grouped by
-two 64-bit hashes of its bytes with pre-aggregation, and every string but the first is a repeat.
+Equal regions of a key (by a hash of their bytes) are one string with several places, joined before any text moves.
+Over the different regions of a key the task sorts the suffixes whose first ``LENGTH`` bytes recur, measures
+the common prefix of neighbours, and scans these with a stack: every interval of suffixes with a common prefix of
+``LENGTH`` bytes or more is a node of the interval tree. A node whose occurrences are preceded by different bytes
+(or begin a region, where the byte before is another key's matter) can't be extended to the left: a
+maximal repeat of these regions. ``repeat_groups`` lists it with the first place of each child, so that each place
+comes once and the tree holds all occurrences of every node. A repeat that is longer than a region comes
+out as overlapping groups, one per key, each with all occurrences; ``removals`` joins them per text.
+
+A key with more than ``_CROWD`` different regions does not go to one task: each of its strings is a row then,
+grouped by two 64-bit hashes of its bytes with pre-aggregation, and every string but the first is a repeat.
 
 Defined results: a text of fewer bytes than ``LENGTH``, empty or null (as empty) keeps all. Rows come in
 the order of doc_id, rows without one last, rows that share one by a hash of the text. Rows equal in both are one
@@ -52,8 +52,8 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values if size == width else np.minimum(values[: len(values) - (width - size)], values[width - size :])
 
 
-def _runs(texts: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For blocks of texts: first row, and row, key, first start and number of starts of each run."""
+def _runs(texts: pa.Array, length: int) -> Iterator[tuple]:
+    """For blocks of texts: first row, and row, key, region's hash, first start and number of starts of each run."""
     gram = min(_GRAM, length)
     width = length - gram + 1
     data, offsets = text_bytes(texts)
@@ -63,7 +63,8 @@ def _runs(texts: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.nd
             continue
         bounds = offsets[start : stop + 1] - offsets[start]
         begins = np.arange(len(part) - gram + 1)
-        hashes = hashing.Ranges(part).hash(begins, begins + gram)
+        ranges = hashing.Ranges(part)
+        hashes = ranges.hash(begins, begins + gram)
         # The place takes the hash's low bits: of equal strings the leftmost counts, whatever else repeats.
         low = np.uint64((1 << len(part).bit_length()) - 1)
         places = (_least((hashes & ~low) | begins.astype(np.uint64), width) & low).astype(np.int64)
@@ -74,79 +75,68 @@ def _runs(texts: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.nd
         at = np.flatnonzero(first & whole)
         if len(at):
             counts = np.add.reduceat(whole.astype(np.int64), at)
-            yield start, rows[at], hashes[places[at]].view(np.int64), at - bounds[rows[at]], counts
+            regions = hashing.mix(ranges.hash(at, at + counts + (length - 1)), 3).view(np.int64)
+            yield start, rows[at], hashes[places[at]].view(np.int64), regions, at - bounds[rows[at]], counts
 
 
 def _spots(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, mark, text) to a row per run: key, doc, mark, and first start and number of starts in one number."""
+    """(doc, mark, text) to a row per run: key, hash of the region, doc, mark, first start, number of starts, and
+    whether an equal region stands earlier in the text."""
     for batch in batches:
         docs, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for first, rows, keys, starts, counts in _runs(batch.column(2), length):
-            columns = [keys, docs[first + rows], marks[first + rows], starts * 1024 + counts]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "doc", "mark", "spot"])
+        for first, rows, keys, regions, starts, counts in _runs(batch.column(2), length):
+            order = np.lexsort((starts, regions, keys, rows))
+            again = np.zeros(len(order), bool)
+            again[1:] = np.logical_and.reduce([c[order[1:]] == c[order[:-1]] for c in (rows, keys, regions, counts)])
+            columns = [keys, regions, docs[first + rows], marks[first + rows], starts, counts]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c[order], pa.int64()) for c in columns), pa.array(again)],
+                names=["key", "region", "doc", "mark", "start", "size", "again"],
+            )
 
 
 def _regions(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, mark, text, spots as (key, spot)) to a row per spot with the region's bytes."""
+    """(doc, mark, text, spots as (key, region, start, size)) to a row per spot with the region's bytes."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(2))
         spots = batch.column(3)
-        keys, packed = (spots.flatten().field(i).to_numpy() for i in (0, 1))
-        counts = spots.value_lengths().to_numpy()
-        rows = np.repeat(np.arange(batch.num_rows), counts)
+        keys, regions, starts, sizes = (spots.flatten().field(i).to_numpy() for i in range(4))
+        rows = np.repeat(np.arange(batch.num_rows), spots.value_lengths().to_numpy())
         docs, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for at in range(0, len(rows), 8192):
             part = slice(at, at + 8192)
-            starts = packed[part] >> 10
-            begins = offsets[rows[part]] + starts
-            raw = [data[b : b + n].tobytes() for b, n in zip(begins.tolist(), ((packed[part] & 1023) + (length - 1)).tolist())]
+            begins = offsets[rows[part]] + starts[part]
+            raw = [data[b : b + n].tobytes() for b, n in zip(begins.tolist(), (sizes[part] + (length - 1)).tolist())]
+            columns = [keys[part], regions[part], docs[rows[part]], marks[rows[part]], starts[part]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[part]), pa.array(docs[rows[part]]), pa.array(marks[rows[part]]), pa.array(starts),
-                 pa.array(raw, pa.binary())],
-                names=["key", "doc", "mark", "start", "region"],
+                [*map(pa.array, columns), pa.array(raw, pa.binary())], names=["key", "region", "doc", "mark", "start", "bytes"]
             )
 
 
 class _Tree:
-    """Regions of some keys with their places, and the interval tree of their suffixes."""
+    """Different regions of some keys, each with its first place, and the interval tree of their suffixes."""
 
     def __init__(self, length: int):
-        self.length = length
-        self.places: dict[tuple[int, bytes], set[tuple[int, int, int]]] = {}
-        self.size = 0
-
-    def add(self, key: int, region: bytes, place: tuple[int, int, int]) -> None:
-        self.size += 32
-        if (key, region) not in self.places:
-            self.size += len(region)
-            self.places[key, region] = {place}
-        else:
-            self.places[key, region].add(place)
+        self.length, self.size = length, 0
+        self.regions: list[tuple[int, int, tuple[int, int, int], bytes]] = []
+
+    def add(self, key: int, region: int, place: tuple[int, int, int], data: bytes) -> None:
+        self.regions.append((key, region, place, data))
+        self.size += len(data)
 
     def groups(self) -> Iterator[tuple]:
-        """Rows (key, node, length, doc, mark, start, first, below) of all maximal repeats."""
-        regions = [(key, region, sorted(held)) for (key, region), held in self.places.items()]
+        """Rows (key, node, length, doc, mark, start, first, region, below) of all maximal repeats."""
+        suffixes, common = self._array([data for *_, data in self.regions])
+        deep = common >= self.length
+        starts = np.flatnonzero(deep & ~np.append(False, deep[:-1])) - 1
+        stops = np.flatnonzero(deep & ~np.append(deep[1:], False)) + 1
         nodes = 0
-        own: list[int | None] = []
-        for key, region, held in regions:
-            own.append(nodes if len(held) > 1 else None)
-            if len(held) > 1:  # equal regions are a node of their own; the suffixes inside extend to the left
-                for i, place in enumerate(held):
-                    yield key, nodes, len(region), *place, i == 0, None
-                nodes += 1
-        suffixes, common, self.text = self._array([region for _, region, _ in regions])
-        at = 0
-        while at < len(suffixes):
-            stop = at + 1
-            while stop < len(suffixes) and common[stop] >= self.length:
-                stop += 1
-            if stop - at > 1:
-                for row in self._scan(regions, own, suffixes[at:stop], common[at:stop], nodes):
-                    yield row
-                    nodes = max(nodes, row[1] + 1)
-            at = stop
-
-    def _array(self, regions: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        for at, stop in zip(starts.tolist(), stops.tolist()):
+            for row in self._scan(suffixes[at:stop], common[at:stop], nodes):
+                yield row
+                nodes = max(nodes, row[1] + 1)
+
+    def _array(self, regions: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Suffixes (region, offset) in order, where their first bytes recur; common prefix with the one before."""
         data = np.frombuffer(b"".join(regions), np.uint8)
         bounds = np.concatenate(([0], np.cumsum([len(r) for r in regions]))).astype(np.int64)
@@ -178,13 +168,13 @@ class _Tree:
             if not open_.any():
                 break
             common[1:] += open_
-        return np.stack((rows[order], inner[order]), axis=1), common, data
+        return np.stack((rows[order], inner[order]), axis=1), common
 
-    def _scan(self, regions: list, own: list, suffixes: np.ndarray, common: np.ndarray, number: int) -> Iterator[tuple]:
+    def _scan(self, suffixes: np.ndarray, common: np.ndarray, number: int) -> Iterator[tuple]:
         """Close the intervals of one run of suffixes, inner ones first.
 
-        An open interval holds its prefix length, its children as (first place, its node if it is one), and the bytes
-        before its occurrences.
+        An open interval holds its prefix length, its children as (first place, region of a leaf, node of a group),
+        and the bytes before its occurrences.
         """
         stack: list[list] = []
 
@@ -195,19 +185,16 @@ class _Tree:
             if len(before) < 2 and None not in before:
                 return children, before
             node, number = number, number + 1
-            least = min(place for place, _ in children)
-            rows.extend((key, node, length, *place, place == least, below) for place, below in children)
-            return [(least, node)], before
+            least = min(place for place, _, _ in children)
+            rows.extend((key, node, length, *place, place == least, leaf, below) for place, leaf, below in children)
+            return [(least, None, node)], before
 
         rows: list[tuple] = []
-        key = regions[suffixes[0][0]][0]
+        key = self.regions[suffixes[0][0]][0]
         following = np.append(common[1:], 0)
         for (row, offset), shared in zip(suffixes.tolist(), following.tolist()):
-            _, region, held = regions[row]
-            if offset:
-                children, before = [((d, m, s + offset), None) for d, m, s in held], {region[offset - 1]}
-            else:
-                children, before = [(held[0], own[row])], {None}
+            _, region, (doc, mark, start), data = self.regions[row]
+            children, before = [((doc, mark, start + offset), region, None)], {data[offset - 1] if offset else None}
             while True:
                 if stack and stack[-1][0] >= shared:
                     stack[-1][1] += children
@@ -222,43 +209,43 @@ class _Tree:
         return iter(rows)
 
 
-_GROUPS = "key bigint, node int, length int, doc bigint, mark bigint, start bigint, first boolean, below int"
+_GROUPS = "key bigint, node bigint, length bigint, doc bigint, mark bigint, start bigint, first boolean, region bigint, below bigint"
 
 
 def _groups(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key (key, doc, mark, start, region) to the maximal repeats of each key."""
+    """Rows sorted by key (key, region, doc, mark, start, bytes) to the maximal repeats of each key."""
     def written(tree: _Tree) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32()]
         rows = list(tree.groups())
+        kinds = [f.split() for f in _GROUPS.split(", ")]
         columns = list(zip(*rows)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["key", "node", "length", "doc", "mark", "start", "first", "below"],
+            [pa.array(c, pa.bool_() if kind == "boolean" else pa.int64()) for c, (_, kind) in zip(columns, kinds)],
+            names=[name for name, _ in kinds],
         )
 
     tree, last = _Tree(length), None
     for batch in batches:
-        keys, docs, marks, starts = (batch.column(i).to_pylist() for i in range(4))
-        for key, doc, mark, start, region in zip(keys, docs, marks, starts, batch.column(4)):
+        keys, regions, docs, marks, starts = (batch.column(i).to_pylist() for i in range(5))
+        for key, region, doc, mark, start, data in zip(keys, regions, docs, marks, starts, batch.column(5)):
             if key != last and tree.size > _REGIONS:
                 yield from written(tree)
                 tree = _Tree(length)
-            tree.add(key, region.as_py(), (doc, mark, start))
+            tree.add(key, region, (doc, mark, start), data.as_py())
             last = key
     yield from written(tree)
 
 
 def _windows(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, doc, mark, start, region) to a row per string: two hashes, doc, mark, start."""
+    """Rows (key, region, doc, mark, start, bytes) to a row per string: two hashes, doc, mark, start."""
     for batch in batches:
-        data, offsets = text_bytes(batch.column(4))
+        data, offsets = text_bytes(batch.column(5))
         for first, stop in row_blocks(offsets, _BLOCK // 4):
             part, bounds = data[offsets[first] : offsets[stop]], offsets[first : stop + 1] - offsets[first]
             counts = np.diff(bounds) - (length - 1)
             rows = np.repeat(np.arange(stop - first), counts)
             inner = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
             begins = bounds[rows] + inner
-            docs, marks, starts = (batch.column(i).to_numpy()[first + rows] for i in (1, 2, 3))
+            docs, marks, starts = (batch.column(i).to_numpy()[first + rows] for i in (2, 3, 4))
             hashes = [hashing.Ranges(part, salt).hash(begins, begins + length).view(np.int64) for salt in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in (*hashes, docs, marks, starts + inner)], names=["one", "two", "doc", "mark", "start"]
@@ -270,46 +257,73 @@ def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _strings_of(texts: DataFrame, spots: DataFrame, length: int) -> DataFrame:
-    """key, doc, mark, start, region of spots (key, doc, mark, spot)."""
-    wanted = spots.groupBy("doc", "mark").agg(F.collect_list(F.struct("key", "spot")).alias("spots"))
+def _bytes_of(texts: DataFrame, regions: DataFrame, length: int) -> DataFrame:
+    """key, region, doc, mark, start, bytes of regions (key, region, size, doc, mark, start)."""
+    wanted = regions.groupBy("doc", "mark").agg(F.collect_list(F.struct("key", "region", "start", "size")).alias("spots"))
     whole = texts.groupBy("doc", "mark").agg(F.first("text").alias("text"))
     rows = whole.join(wanted, ["doc", "mark"]).select("doc", "mark", "text", "spots")
-    kind = "key bigint, doc bigint, mark bigint, start bigint, region binary"
+    kind = "key bigint, region bigint, doc bigint, mark bigint, start bigint, bytes binary"
     return rows.mapInArrow(functools.partial(_regions, length), kind)
 
 
+def _first_marked(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Rows of groups of two and more places, with ``first`` for the least place (doc, mark, start).
+
+    Firsts are found with pre-aggregation and met in ``_SALTS`` pieces a group.
+    """
+    at = F.struct("doc", "mark", "start")
+    firsts = rows.groupBy(group).agg(F.min(at).alias("least"), F.count("*").alias("n")).where("n > 1")
+    firsts = firsts.select(*group, "least", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc", "start"), F.lit(_SALTS)).cast("int"))
+    return salted.join(firsts, [*group, "salt"]).withColumn("first", at == F.col("least"))
+
+
 def _groups_of(texts: DataFrame, length: int) -> DataFrame:
-    """key, node, length, doc, mark, start, first, below."""
-    spots = texts.mapInArrow(functools.partial(_spots, length), "key bigint, doc bigint, mark bigint, spot bigint")
-    place = F.xxhash64("mark", "spot")  # the same place in copies of a text is one
+    """All groups, in the columns of ``_GROUPS``."""
+    none = F.lit(None).cast("bigint")
+    kind = "key bigint, region bigint, doc bigint, mark bigint, start bigint, size bigint, again boolean"
+    runs = texts.mapInArrow(functools.partial(_spots, length), kind)
+    # An equal region further on in the same text is a repeat whatever other texts hold.
+    own = runs.where("again").select(
+        "key", F.col("region").alias("node"), (F.col("size") + length - 1).alias("length"), "doc", "mark", "start",
+        F.lit(False).alias("first"), none.alias("region"), none.alias("below"),
+    )
+    spots = runs.where("not again").drop("again")
+    place = F.xxhash64("mark", "start")  # the same place in copies of a text is one
     shared = spots.select("key", place.alias("p")).groupBy("key").agg(F.min("p").alias("a"), F.max("p").alias("b")).where("a <> b")
-    kept = saved(spots.join(shared.select("key"), "key").groupBy("key", "mark", "spot").agg(F.min("doc").alias("doc")))
-    crowded = saved(kept.groupBy("key").count().where(F.col("count") > _CROWD).select("key"))
-    plain = _strings_of(texts, kept.join(crowded, "key", "left_anti"), length)
-    by_key = plain.repartition("key").sortWithinPartitions("key")
-    groups = by_key.mapInArrow(functools.partial(_groups, length), _GROUPS)
+    together = spots.join(shared.select("key"), "key").groupBy("key", "region", "size", "mark", "start")
+    places = saved(together.agg(F.min("doc").alias("doc")))
+    equal = _first_marked(places, ["key", "region", "size"]).select(
+        "key", F.col("region").alias("node"), (F.col("size") + length - 1).alias("length"), "doc", "mark", "start",
+        "first", none.alias("region"), none.alias("below"),
+    )
+    different = places.groupBy("key", "region", "size").agg(F.min(F.struct("doc", "mark", "start")).alias("at"))
+    different = saved(different.select("key", "region", "size", "at.*"))
+    counts = different.groupBy("key").count().where("count > 1")
+    plain = different.join(counts.where(F.col("count") <= _CROWD).select("key"), "key", "left_semi")
+    by_key = _bytes_of(texts, plain, length).repartition("key").sortWithinPartitions("key")
+    groups = own.union(equal).union(by_key.mapInArrow(functools.partial(_groups, length), _GROUPS))
+    crowded = saved(counts.where(F.col("count") > _CROWD).select("key"))
     if crowded.isEmpty():
         return groups
-    many = _strings_of(texts, kept.join(crowded, "key", "left_semi"), length)
+    many = _bytes_of(texts, different.join(crowded, "key", "left_semi"), length)
     windows = many.mapInArrow(functools.partial(_windows, length), "one bigint, two bigint, doc bigint, mark bigint, start bigint")
-    at = F.struct("doc", "mark", "start")
-    firsts = windows.groupBy("one", "two").agg(F.min(at).alias("least"), F.count("*").alias("n")).where("n > 1")
-    firsts = firsts.select("one", "two", "least", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    salted = windows.withColumn("salt", F.pmod(F.xxhash64("doc", "start"), F.lit(_SALTS)).cast("int"))
-    found = salted.join(firsts, ["one", "two", "salt"]).select(
-        F.col("one").alias("key"), F.col("two").alias("node"), F.lit(length).alias("length"), "doc", "mark", "start",
-        (at == F.col("least")).alias("first"), F.lit(None).cast("bigint").alias("below"),
-    )
-    return groups.select("key", F.col("node").cast("bigint"), "length", "doc", "mark", "start", "first", F.col("below").cast("bigint")).union(found)
+    return groups.union(_first_marked(windows, ["one", "two"]).select(
+        F.col("one").alias("key"), F.col("two").alias("node"), F.lit(length).cast("bigint").alias("length"), "doc", "mark", "start",
+        "first", none.alias("region"), none.alias("below"),
+    ))
 
 
 def repeat_groups(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Maximal repeats of ``length`` bytes or more: key and node name a group, whose string has ``length`` bytes and
-    stands at ``start`` of the document (doc_id, or null, and the text's hash ``mark``); the first place is marked.
-    Copies of a text are not listed, only their first document."""
+    """Maximal repeats of ``length`` bytes or more as an interval tree.
+
+    key and node name a group; its string has ``length`` bytes and stands at ``start`` of the document (doc_id, or null,
+    and the text's hash ``mark``); ``first`` marks its first place. A row stands for one place, or with ``region`` for
+    all places of the group (key, node = region) of equal regions at the same offset, or with ``below`` for all those of
+    the group (key, below). Copies of a text are not listed, only their first document.
+    """
     rows = _groups_of(_texts(docs, id_column, text_column), length)
-    return rows.select("key", "node", "length", F.expr(f"nullif(doc, {_LAST})").alias("doc_id"), "mark", "start", "first", "below")
+    return rows.select("key", "node", "length", F.expr(f"nullif(doc, {_LAST})").alias("doc_id"), "mark", "start", "first", "region", "below")
 
 
 def _cut(texts: list, spans: list) -> list:
