@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from botlens.llm.common import arrow_column, row_blocks, saved, text_bytes
 
 LENGTH = 100
 _GRAM, _CROWD, _SALTS = 32, 4096, 8
-_BLOCK, _REGIONS = 1 << 20, 2 << 20
+_BLOCK, _REGIONS, _ROWS = 1 << 19, 1 << 19, 1 << 14
 _LAST = (1 << 63) - 1
 
 
@@ -214,14 +215,15 @@ _GROUPS = "key bigint, node bigint, length bigint, doc bigint, mark bigint, star
 
 def _groups(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key (key, region, doc, mark, start, bytes) to the maximal repeats of each key."""
+    kinds = [f.split() for f in _GROUPS.split(", ")]
+
     def written(tree: _Tree) -> Iterator[pa.RecordBatch]:
-        rows = list(tree.groups())
-        kinds = [f.split() for f in _GROUPS.split(", ")]
-        columns = list(zip(*rows)) or [()] * len(kinds)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.bool_() if kind == "boolean" else pa.int64()) for c, (_, kind) in zip(columns, kinds)],
-            names=[name for name, _ in kinds],
-        )
+        rows = tree.groups()
+        while part := list(itertools.islice(rows, _ROWS)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.bool_() if kind == "boolean" else pa.int64()) for c, (_, kind) in zip(zip(*part), kinds)],
+                names=[name for name, _ in kinds],
+            )
 
     tree, last = _Tree(length), None
     for batch in batches:
@@ -283,16 +285,18 @@ def _groups_of(texts: DataFrame, length: int) -> DataFrame:
     none = F.lit(None).cast("bigint")
     kind = "key bigint, region bigint, doc bigint, mark bigint, start bigint, size bigint, again boolean"
     runs = texts.mapInArrow(functools.partial(_spots, length), kind)
-    # An equal region further on in the same text is a repeat whatever other texts hold.
-    own = runs.where("again").select(
+    # An equal region further on in the same text is a repeat whatever other texts hold: it keeps to itself.
+    spots = runs.withColumn("key", F.when(F.col("again"), F.xxhash64("key", "mark", "start")).otherwise(F.col("key")))
+    place = F.xxhash64("mark", "start")  # the same place in copies of a text is one
+    shared = runs.where("not again").select("key", place.alias("p")).groupBy("key")
+    shared = shared.agg(F.min("p").alias("a"), F.max("p").alias("b")).where("a <> b").select("key", F.lit(True).alias("shared"))
+    kept = spots.join(shared, "key", "left").where("again or shared").groupBy("key", "region", "size", "mark", "start", "again")
+    kept = saved(kept.agg(F.min("doc").alias("doc")))
+    own = kept.where("again").select(
         "key", F.col("region").alias("node"), (F.col("size") + length - 1).alias("length"), "doc", "mark", "start",
         F.lit(False).alias("first"), none.alias("region"), none.alias("below"),
     )
-    spots = runs.where("not again").drop("again")
-    place = F.xxhash64("mark", "start")  # the same place in copies of a text is one
-    shared = spots.select("key", place.alias("p")).groupBy("key").agg(F.min("p").alias("a"), F.max("p").alias("b")).where("a <> b")
-    together = spots.join(shared.select("key"), "key").groupBy("key", "region", "size", "mark", "start")
-    places = saved(together.agg(F.min("doc").alias("doc")))
+    places = kept.where("not again")
     equal = _first_marked(places, ["key", "region", "size"]).select(
         "key", F.col("region").alias("node"), (F.col("size") + length - 1).alias("length"), "doc", "mark", "start",
         "first", none.alias("region"), none.alias("below"),
@@ -320,7 +324,8 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_i
     key and node name a group; its string has ``length`` bytes and stands at ``start`` of the document (doc_id, or null,
     and the text's hash ``mark``); ``first`` marks its first place. A row stands for one place, or with ``region`` for
     all places of the group (key, node = region) of equal regions at the same offset, or with ``below`` for all those of
-    the group (key, below). Copies of a text are not listed, only their first document.
+    the group (key, below). A region that comes again within its text is a row of its own, without its first place.
+    Copies of a text are not listed, only their first document.
     """
     rows = _groups_of(_texts(docs, id_column, text_column), length)
     return rows.select("key", "node", "length", F.expr(f"nullif(doc, {_LAST})").alias("doc_id"), "mark", "start", "first", "region", "below")
