@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from botlens import values
 from botlens.schema import LOG_EVENT
+from botlens.sources import log_tail
 
 _ONE_GROUP_PER_LINE = "\n".join(f"${i + 1}" for i in range(len(values.ACCESS_LOG_GROUPS)))
 
@@ -19,13 +20,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def stream_lines(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Follow a log folder from the first file on; rotated ``.gz`` files are read too."""
+    """Read the files of a log folder, each once and as a whole, new ones as they come (``.gz`` too).
+
+    Lines that are appended to a file later are not seen: use :func:`follow_lines` for those.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.text(path)
 
 
+def follow_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Follow the growing and rotated files of a log folder, each line once, as column ``value``."""
+    return log_tail.tail_lines(spark, path, pattern).select("value")
+
+
 def _groups(line: Column) -> Column:
     # One regex pass per line: a matching line is rewritten to its groups, one
     # per row, and split there. A line holds no line break itself, so a line

@@ -35,7 +35,9 @@ def model_stream(events: DataFrame, settings: Settings, spark: SparkSession) ->
 
 
 def line_stream(spark: SparkSession, settings: Settings, folder: str) -> DataFrame:
-    return access_log.stream_lines(spark, folder, settings.streaming.max_files_per_trigger)
+    """Lines of a log folder: followed as files grow and rotate, or whole files where those are limited per batch."""
+    limit = settings.streaming.max_files_per_trigger
+    return access_log.stream_lines(spark, folder, limit) if limit else access_log.follow_lines(spark, folder)
 
 
 def event_stream(spark: SparkSession, settings: Settings, folder: str | None) -> DataFrame:
