@@ -104,7 +104,8 @@ def client_windows(
 
     The per-request features are those of the first request of the window: one
     minimum over (time, id, features), so they come from the same request and
-    do not depend on how the rows were read.
+    do not depend on how the rows were read. (Tables whose windows overlap go by
+    panes, see :mod:`botlens.operators.panes`, with the same result.)
     """
     order = [c for c in ("timestamp", "event_id") if c in features.columns]
     failure_rate = F.avg("is_failure")

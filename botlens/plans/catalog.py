@@ -15,7 +15,7 @@ from botlens.config import SENSITIVE, STANDARD
 from botlens.functions import agents, requests, scores
 from botlens.lineage import checkpointed
 from botlens.operators import (
-    arrivals, detections, features, learning, report, scoring, searches, windows,
+    arrivals, detections, features, learning, panes, report, scoring, searches, windows,
 )
 from botlens.plans import detectors
 from botlens.sources import access_log, tables, topic
@@ -139,7 +139,7 @@ def traffic_windows(spark, folder):
 
 def _client_windows(spark, folder):
     rows = features.model_row_features(_dense(spark, folder))
-    return windows.flatten_window(windows.client_windows(rows, "60 seconds", "30 seconds"))
+    return windows.flatten_window(panes.feature_windows(rows, "60 seconds", "30 seconds"))
 
 
 def ml_window_features(spark, folder):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from botlens.config import Settings
 from botlens.functions import scores
-from botlens.operators import arrivals, features, learning, scoring, windows
+from botlens.operators import features, learning, panes, scoring, windows
 
 
 def rule_windows(events: DataFrame, settings: Settings) -> DataFrame:
@@ -36,18 +36,14 @@ def model_windows(events: DataFrame, settings: Settings, temporal: str = "zero")
     ``temporal="zero"`` keeps the two arrival-time features constant, as a model
     trained on streams expects; ``"exact"`` computes them (batch tables only).
     """
+    if temporal not in ("zero", "exact"):
+        raise ValueError(f"temporal must be 'zero' or 'exact', not {temporal!r}")
     model, delay = settings.ml, settings.detection.watermark_delay
     rows = features.model_row_features(events)
     grouped = windows.fill_deviation(
-        windows.client_windows(rows, model.window_duration, model.slide_duration, delay)
+        panes.feature_windows(rows, model.window_duration, model.slide_duration, delay, temporal == "exact")
     )
-    if temporal == "zero":
-        return windows.no_arrival_times(grouped)
-    if temporal == "exact":
-        return arrivals.with_arrival_times(
-            grouped, events, model.window_duration, model.slide_duration
-        )
-    raise ValueError(f"temporal must be 'zero' or 'exact', not {temporal!r}")
+    return grouped if temporal == "exact" else windows.no_arrival_times(grouped)
 
 
 def _explained(scored: DataFrame, settings: Settings) -> DataFrame:
