@@ -54,6 +54,12 @@ class Model:
     prediction_threshold: float = 0.5
     window_duration: str = "60 seconds"
     slide_duration: str = "30 seconds"
+    # "zero": arrival-time features are constant; "exact": they are computed, by streaming jobs too.
+    temporal: str = "zero"
+
+    def __post_init__(self):
+        if self.temporal not in ("zero", "exact"):
+            raise ValueError("temporal must be zero or exact")
 
 
 @dataclass(frozen=True)

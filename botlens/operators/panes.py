@@ -12,6 +12,8 @@ task only for the gap between the last request of a pane and the first of the ne
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,16 +51,17 @@ def _deviation(moments: Column) -> Column:
     return F.when(moments["n"] > 1, F.sqrt(moments["m2"] / (moments["n"] - 1)))
 
 
-def client_panes(features: DataFrame, slide: str, gaps: bool = False) -> DataFrame:
+def client_panes(features: DataFrame, slide: str, gaps: bool = False, more: Sequence[Column] = ()) -> DataFrame:
     """One row per slide and client that had requests: ``pane``, ``client_ip`` and the partial aggregates.
 
-    With ``gaps`` also those of the time between requests, the one to the client's pane before included.
+    With ``gaps`` also those of the time between requests, the one to the client's pane before included. ``more`` are
+    further aggregates of a pane.
     """
     order = [c for c in ("timestamp", "event_id") if c in features.columns]
     rows = features.withColumn("pane", F.window("timestamp", slide))
     partial = [
         F.count(F.lit(1)).alias("requests"), F.sum("is_failure").alias("failures"), F.count("is_failure").alias("judged"),
-        _moments("Payload_Size").alias("payload"), F.min(F.struct(*order, *FIRST_VALUES)).alias("first"),
+        _moments("Payload_Size").alias("payload"), F.min(F.struct(*order, *FIRST_VALUES)).alias("first"), *more,
     ]
     if not gaps:
         return rows.groupBy("pane", "client_ip").agg(*partial)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from botlens.config import Settings
 from botlens.functions import scores
 from botlens.operators import features, learning, panes, scoring, windows
+from botlens.streaming.exact_windows import exact_windows
 
 
 def rule_windows(events: DataFrame, settings: Settings) -> DataFrame:
@@ -33,16 +34,18 @@ def rule_detections(events: DataFrame, settings: Settings) -> DataFrame:
 def model_windows(events: DataFrame, settings: Settings, temporal: str = "zero") -> DataFrame:
     """The model's 16 features per window and client.
 
-    ``temporal="zero"`` keeps the two arrival-time features constant, as a model
-    trained on streams expects; ``"exact"`` computes them (batch tables only).
+    ``temporal="zero"`` keeps the two arrival-time features constant, as a model trained without
+    them expects; ``"exact"`` computes them, on tables and on streams alike.
     """
     if temporal not in ("zero", "exact"):
         raise ValueError(f"temporal must be 'zero' or 'exact', not {temporal!r}")
     model, delay = settings.ml, settings.detection.watermark_delay
     rows = features.model_row_features(events)
-    grouped = windows.fill_deviation(
-        panes.feature_windows(rows, model.window_duration, model.slide_duration, delay, temporal == "exact")
-    )
+    if events.isStreaming and temporal == "exact":
+        grouped = exact_windows(rows, model.window_duration, model.slide_duration, delay)
+    else:
+        grouped = panes.feature_windows(rows, model.window_duration, model.slide_duration, delay, temporal == "exact")
+    grouped = windows.fill_deviation(grouped)
     return grouped if temporal == "exact" else windows.no_arrival_times(grouped)
 
 

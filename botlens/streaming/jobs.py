@@ -31,7 +31,7 @@ def rule_stream(events: DataFrame, settings: Settings) -> DataFrame:
 def model_stream(events: DataFrame, settings: Settings, spark: SparkSession) -> DataFrame:
     """Model (or fallback) detections of an event stream."""
     model = detectors.load_model(spark, settings.ml.model_path)
-    return stamp(with_detection_id(detectors.model_detections(events, settings, model)))
+    return stamp(with_detection_id(detectors.model_detections(events, settings, model, settings.ml.temporal)))
 
 
 def line_stream(spark: SparkSession, settings: Settings, folder: str) -> DataFrame:
@@ -102,6 +102,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--config", help="YAML or JSON settings over the preset")
     parser.add_argument("--preset", choices=sorted(PRESETS), default="sensitive")
     parser.add_argument("--model", help="folder of a saved model")
+    parser.add_argument("--temporal", choices=["zero", "exact"], help="arrival-time features of the model")
     parser.add_argument("--logs", help="folder of access logs; default is the topic")
     parser.add_argument("--store", help="folder for detections; default is the console")
     parser.add_argument("--quarantine", help="folder for log lines that do not parse")
@@ -111,6 +112,8 @@ def main(arguments: list[str] | None = None) -> None:
     settings = load_settings(args.config, PRESETS[args.preset])
     if args.model:
         settings = settings.override({"ml": {"model_path": args.model}})
+    if args.temporal:
+        settings = settings.override({"ml": {"temporal": args.temporal}})
     spark = SparkSession.builder.appName(f"botlens-{args.job}").getOrCreate()
     events = event_stream(spark, settings, args.logs)
     if args.job == "rule":
