@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from botlens import values
 from botlens.functions import scores
+from botlens.operators.neighbours import nearest_rows
 
 UNSCALED_FEATURES = tuple(n for n in values.FEATURE_NAMES if n not in values.SCALED_FEATURES)
 
@@ -175,6 +176,35 @@ def interpolate_minority(
     )
 
 
+#: Steps of a standard deviation in which :func:`interpolate_nearest` measures.
+NEAREST_STEPS = 10_000
+
+
+def interpolate_nearest(features: DataFrame, key: str, label: str = "label", copies: int = 1) -> DataFrame:
+    """Synthetic rows of class 1, each between a row and one of its nearest rows (SMOTE by nearest neighbours).
+
+    Rows with the same 0/1 features are neighbours, by distance of their numeric features in standard deviations
+    of the class (in steps of a ten-thousandth), then by key. Row n of the ``copies`` goes towards the n-th nearest; with
+    fewer neighbours it starts over, and a row without any repeats itself. So every row makes exactly ``copies``.
+    Input that is costly to compute should be checkpointed: it is read more than once.
+    """
+    numeric = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in _NUMERIC_FEATURES]
+    flags = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in CELL_FEATURES]
+    minority = features.where(F.col(label) == 1).select(F.col(key).cast("string").alias(key), *numeric, *flags)
+    # One row of nine numbers.
+    spread = minority.agg(*[F.stddev_samp(n).alias(n) for n in _NUMERIC_FEATURES]).first()
+    scaled = [F.floor(F.lit(float(NEAREST_STEPS)) * (F.col(n) / F.lit(spread[n] or 1.0)) + F.lit(0.5)).cast("double") for n in _NUMERIC_FEATURES]
+    near = nearest_rows(minority, key, CELL_FEATURES, _NUMERIC_FEATURES, scaled, copies)
+    pairs = near.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    other = F.get("nearest", F.when(F.size("nearest") > 0, F.pmod(F.col("_step") - 1, F.size("nearest"))))["row"]
+    share = unit_hash(F.col(key), F.col("_step").cast("string"))
+    between = {n: F.col(n) + share * (F.coalesce(other[n], F.col(n)) - F.col(n)) for n in _NUMERIC_FEATURES}
+    new_key = F.concat_ws("|", key, F.col("_step").cast("string"))
+    return pairs.select(
+        new_key.alias(key), *[(between[n] if n in between else F.col(n)).alias(n) for n in values.FEATURE_NAMES], F.lit(1).alias(label)
+    )
+
+
 def train_forest(
     labeled: DataFrame, label: str = "label", weight: str | None = "weight",
     trees: int = 20, depth: int = 8, seed: int = 7,

@@ -300,6 +300,11 @@ def interpolate_minority(spark, folder):
     return _even(made)
 
 
+def interpolate_nearest(spark, folder):
+    made = learning.interpolate_nearest(_labeled(spark, folder), "detection_id", copies=2)
+    return _even(made)
+
+
 def _trained(spark, folder):
     rows = checkpointed(detectors.training_rows(_fallback(spark, folder)))
     return rows, learning.train_forest(rows)
@@ -525,6 +530,7 @@ QUERIES: dict[str, Query] = {
     "balance_classes": balance_classes,
     "oversample_classes": oversample_classes,
     "interpolate_minority": interpolate_minority,
+    "interpolate_nearest": interpolate_nearest,
     "forest_holdout": forest_holdout,
     "predict_proba": predict_proba,
     "predict_threshold": predict_threshold,

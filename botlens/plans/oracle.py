@@ -405,6 +405,28 @@ ORACLES: dict[str, str] = {
             f'"{n}"' if n in learning.CELL_FEATURES
             else f'round("{n}" + share * ("other {n}" - "{n}"), {4 if n == "payload_std_per_ip" else 6}) as "{n}"'
             for n in values.FEATURE_NAMES)}, 1 as label from shares""",
+    "interpolate_nearest": f"""{_found(extra=(
+        ('bots', f"select {_ID} as detection_id, " + ', '.join(f'cast("{n}" as double) as "{n}"' for n in values.FEATURE_NAMES)
+         + " from found where is_bot = 1"),
+        ('spread', "select " + ', '.join(f'coalesce(nullif(stddev_samp("{n}"), 0), 1e0) as "s {n}"' for n in learning._NUMERIC_FEATURES)
+         + " from bots"),
+        ('placed', "select *, " + ', '.join(f'floor({learning.NEAREST_STEPS}e0 * ("{n}" / "s {n}") + 0.5e0) as "z {n}"'
+                                           for n in learning._NUMERIC_FEATURES) + " from bots, spread"),
+        ('near', "select o.detection_id as id, p.detection_id as other, row_number() over (partition by o.detection_id order by sqrt("
+         + ' + '.join(f'(o."z {n}" - p."z {n}") * (o."z {n}" - p."z {n}")' for n in learning._NUMERIC_FEATURES)
+         + "), p.detection_id) as place from placed o join placed p on o.detection_id <> p.detection_id and "
+         + ' and '.join(f'o."{n}" = p."{n}"' for n in learning.CELL_FEATURES) + " qualify place <= 2"),
+        ('known', "select id, count(*) as neighbours from near group by id"),
+        ('steps', "select o.*, s.step, (s.step - 1) % k.neighbours + 1 as place from bots o, (values (1), (2)) s(step)"
+         " left join known k on k.id = o.detection_id"),
+        ('pairs', "select s.detection_id || '|' || s.step as new_id, " + ', '.join(
+            f's."{n}", coalesce(p."{n}", s."{n}") as "other {n}"' for n in values.FEATURE_NAMES)
+         + " from steps s left join near n on n.id = s.detection_id and n.place = s.place left join bots p on p.detection_id = n.other"),
+        ('shares', f"select *, {_CHANCE.format('new_id')} as share from pairs")))}
+        select new_id as detection_id, {', '.join(
+            f'"{n}"' if n in learning.CELL_FEATURES
+            else f'round("{n}" + share * ("other {n}" - "{n}"), {4 if n == "payload_std_per_ip" else 6}) as "{n}"'
+            for n in values.FEATURE_NAMES)}, 1 as label from shares""",
     "forest_holdout": f"""{_FOUND}select is_bot as label, count(*) as row_count, true as probabilities_valid, true as accurate
         from found where {_CHANCE.format(_ID)} >= 0.7e0 group by 1""",
     "predict_threshold": f"""{_FOUND}select window_start, client_ip, round(bot_probability, 6) as bot_probability,
