@@ -15,7 +15,7 @@ from botlens.config import SENSITIVE, STANDARD
 from botlens.functions import agents, requests, scores
 from botlens.lineage import checkpointed
 from botlens.operators import (
-    arrivals, detections, features, learning, panes, report, scoring, searches, windows,
+    arrivals, detections, features, judging, learning, panes, report, scoring, searches, windows,
 )
 from botlens.plans import detectors
 from botlens.sources import access_log, tables, topic
@@ -311,9 +311,12 @@ def _trained(spark, folder):
 
 
 def train_forest(spark, folder):
+    """A forest on all windows: rows by label, and whether it has learned nine of ten of them at least."""
     rows, model = _trained(spark, folder)
     judged = learning.predict_threshold(learning.predict_probability(rows, model), 0.5)
-    return judged.groupBy("label", "is_bot").agg(F.count(F.lit(1)).alias("row_count"))
+    right = F.sum((F.col("is_bot") == F.col("label")).cast("int"))
+    whole = judged.agg((right / F.count(F.lit(1)) >= 0.9).alias("x")).scalar()
+    return judged.groupBy("label").agg(F.count(F.lit(1)).alias("row_count")).withColumn("learned", whole)
 
 
 def forest_holdout(spark, folder):
@@ -335,7 +338,26 @@ def forest_holdout(spark, folder):
 def predict_proba(spark, folder):
     _, model = _trained(spark, folder)
     found = detectors.model_detections(_dense(spark, folder), SENSITIVE, model)
-    return _even(found, *_WINDOW, "bot_probability", "is_bot", "classification", "prediction_method")
+    above = F.col("bot_probability") >= SENSITIVE.ml.prediction_threshold
+    facts = {"probability_valid": F.col("bot_probability").between(0, 1), "verdict_fits": (F.col("is_bot") == 1) == above}
+    return _even(found.withColumns(facts), *_WINDOW, *facts, "prediction_method")
+
+
+def calibrated_forest(spark, folder):
+    """Scores out of fold, calibrated on two thirds of the windows and judged on the others; no row of its own fold."""
+    found = detections.with_detection_id(_fallback(spark, folder))
+    scored = checkpointed(judging.out_of_fold(detectors.training_rows(found), F.col("detection_id")))
+    held = F.col("fold") == 0
+    model = judging.fit_calibration(scored.where(~held))
+    made = checkpointed(judging.calibrate(scored.where(held), model))
+    threshold = judging.threshold_for(judging.calibrate(scored.where(~held), model), 0.95)
+    error = judging.calibration_error(made).select((F.col("calibration_error") <= 0.05).alias("x")).scalar()
+    chosen = made.where(F.col("bot_probability") >= F.lit(threshold))
+    precise = chosen.agg((F.avg("label") >= 0.85).alias("x")).scalar()
+    by_label = made.groupBy("label").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min(F.col("bot_probability").between(0, 1)).alias("probabilities_valid")
+    )
+    return by_label.withColumns({"calibrated": error, "precise": precise})
 
 
 def predict_threshold(spark, folder):
@@ -533,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "interpolate_nearest": interpolate_nearest,
     "forest_holdout": forest_holdout,
     "predict_proba": predict_proba,
+    "calibrated_forest": calibrated_forest,
     "predict_threshold": predict_threshold,
     "sigmoid_normalize": sigmoid_normalize,
     "prediction_stats": prediction_stats,

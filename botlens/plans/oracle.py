@@ -429,6 +429,12 @@ ORACLES: dict[str, str] = {
             for n in values.FEATURE_NAMES)}, 1 as label from shares""",
     "forest_holdout": f"""{_FOUND}select is_bot as label, count(*) as row_count, true as probabilities_valid, true as accurate
         from found where {_CHANCE.format(_ID)} >= 0.7e0 group by 1""",
+    "train_forest": f"{_FOUND}select is_bot as label, count(*) as row_count, true as learned from found group by 1",
+    "predict_proba": f"""{_FOUND}select window_start, client_ip, true as probability_valid, true as verdict_fits,
+        '{values.MODEL_METHOD}' as prediction_method from found""",
+    "calibrated_forest": f"""{_FOUND}select is_bot as label, count(*) as row_count, true as probabilities_valid, true as calibrated,
+        true as precise from found where floor(cast('0x' || substr(sha256({_ID} || '|fold'), 1, 8) as bigint) / 4294967296e0 * 3) = 0
+        group by 1""",
     "predict_threshold": f"""{_FOUND}select window_start, client_ip, round(bot_probability, 6) as bot_probability,
         {_flag('bot_probability >= 0.6e0')} as is_bot, '{values.MODEL_METHOD}' as prediction_method from found""",
     "sigmoid_normalize": f"""{_found(extra=(
