@@ -54,10 +54,25 @@ def _explained(scored: DataFrame, settings: Settings) -> DataFrame:
     return windows.flatten_window(scoring.classify(named))
 
 
+def judged_windows(
+    features: DataFrame, settings: Settings, model: PipelineModel | learning.Predictor | None
+) -> DataFrame:
+    """Model features to explained detections, by a model or by the fallback without one."""
+    if model is None:
+        return _explained(scoring.fallback_scores(features, settings.detection), settings)
+    apply = (
+        learning.predict_probability
+        if isinstance(model, PipelineModel)
+        else learning.apply_foreign_model
+    )
+    return _explained(
+        learning.predict_threshold(apply(features, model), settings.ml.prediction_threshold), settings
+    )
+
+
 def fallback_detections(events: DataFrame, settings: Settings, temporal: str = "zero") -> DataFrame:
     """Detections without a model: rule-based probability on the model features."""
-    scored = scoring.fallback_scores(model_windows(events, settings, temporal), settings.detection)
-    return _explained(scored, settings)
+    return judged_windows(model_windows(events, settings, temporal), settings, None)
 
 
 def model_detections(
@@ -67,17 +82,7 @@ def model_detections(
     temporal: str = "zero",
 ) -> DataFrame:
     """Detections by a fitted pipeline or Python predictor, or by the fallback without one."""
-    if model is None:
-        return fallback_detections(events, settings, temporal)
-    apply = (
-        learning.predict_probability
-        if isinstance(model, PipelineModel)
-        else learning.apply_foreign_model
-    )
-    scored = apply(model_windows(events, settings, temporal), model)
-    return _explained(
-        learning.predict_threshold(scored, settings.ml.prediction_threshold), settings
-    )
+    return judged_windows(model_windows(events, settings, temporal), settings, model)
 
 
 def load_model(spark, path: str | None) -> PipelineModel | None:

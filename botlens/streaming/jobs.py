@@ -18,7 +18,7 @@ from botlens.operators.detections import display_rows, with_detection_id
 from botlens.operators.scoring import stamp
 from botlens.plans import detectors
 from botlens.sources import access_log, topic
-from botlens.streaming import sinks
+from botlens.streaming import open_windows, sinks
 
 log = logging.getLogger(__name__)
 
@@ -106,6 +106,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--logs", help="folder of access logs; default is the topic")
     parser.add_argument("--store", help="folder for detections; default is the console")
     parser.add_argument("--quarantine", help="folder for log lines that do not parse")
+    parser.add_argument("--finish", action="store_true", help="model job: at its end, store open windows as provisional")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     args = parser.parse_args(arguments)
 
@@ -137,6 +138,8 @@ def main(arguments: list[str] | None = None) -> None:
     await_end(query, stopping)
     if aside is not None:
         await_end(aside, stopping)
+    if args.finish and args.job == "model" and args.store:
+        open_windows.write_open_windows(spark, settings, store)
     spark.streams.removeListener(seen)
     for number, handler in handlers.items():
         signal.signal(number, handler)
