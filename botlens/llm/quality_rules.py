@@ -100,7 +100,7 @@ class Text:
     @cached_property
     def n_shouted(self) -> int:
         """Words of two letters or more without a small one."""
-        return sum(1 for w in self.text.split() if len(w) > 1 and w.isupper())
+        return sum(1 for w in map(bytes.decode, self.words) if len(w) > 1 and w.isupper())
 
 
 @dataclass(frozen=True)

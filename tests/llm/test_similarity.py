@@ -162,6 +162,25 @@ def test_pairs_of_one_crowded_bucket_are_all_compared(spark):
     assert [labels.get(i, i) for i in range(len(sets))] == want
 
 
+def test_rows_that_share_an_id_lose_no_line(spark):
+    """A line goes only if it stays elsewhere, whatever rows share their doc_id."""
+    own, common = "same second line of both", "the common line of everyone and more"
+    rows = [(5, f"row a first line of its own\n{own}"), (5, f"\n{common}"), (1, common), (5, f"\n{common}"), (7, None), (7, "  \n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = sorted((r.doc_id, r.text) for r in line_dedup.without_repeats(docs).where("text is not null").collect())
+    assert left == sorted([(5, rows[0][1]), (5, ""), (1, common), (5, ""), (7, "  \n")])
+    told = sorted(tuple(r) for r in line_dedup.line_verdicts(docs).collect())
+    assert told == sorted([(1, 1, 0, ""), (5, 2, 0, ""), (5, 1, 1, "1"), (5, 1, 1, "1"), (7, 0, 0, ""), (7, 0, 0, "")])
+    # Two texts of one id that hold the same line: it stays in one of them.
+    twins = spark.createDataFrame([(5, f"{own}\nx one"), (5, f"{own}\nx two that differs")], "doc_id bigint, text string")
+    assert sum(r.text.count(own) for r in line_dedup.without_repeats(twins).collect()) == 1
+
+
+def test_blank_lines_have_empty_sets():
+    sets = line_dedup._line_sets(["abcdefg", "", "  ", "abcdefg"])
+    assert [len(x) for x in sets] == [3, 0, 0, 3] and (sets[0] == sets[3]).all()
+
+
 def test_short_lines_with_one_inner_edit_are_linked(spark, docs_of):
     draw = random.Random(9)
     texts = ["".join(draw.sample("abcdefghijklmnopqrstuvwxyz0123456789.,;:-_+", 41)) for _ in range(40)]

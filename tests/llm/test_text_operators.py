@@ -158,6 +158,12 @@ def test_rule_order_changes_cost_only(docs_of, no_docs):
     assert quality_rules.measured(no_docs).count() == 0
 
 
+def test_words_end_at_ascii_spaces_only():
+    """A no-break space does not part words, in no measure."""
+    text = quality_rules.Text("W1Q\u00a0ab " * 30 + "AB\u2003CD EF\x0bGH x")
+    assert text.n_words == 34 and text.n_shouted == 3
+
+
 def test_rules_run_until_the_first_rejection():
     seen = []
     rules = [quality_rules.Rule(n, lambda t, n=n: seen.append(n) or n == "b") for n in "abc"]
