@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from botlens import fixtures, schema, values
 from botlens.config import SENSITIVE, STANDARD
-from botlens.functions import agents, requests, scores
+from botlens.functions import addresses, agents, requests, scores
 from botlens.lineage import checkpointed
 from botlens.operators import (
     arrivals, detections, features, judging, learning, panes, report, scoring, searches, windows,
@@ -266,6 +266,38 @@ def fallback_detections(spark, folder):
     return _even(found, *[c for c in found.columns if c != "reasons"])
 
 
+# --- addresses ----------------------------------------------------------------
+
+#: Requests with addresses of both families, and some that are none. Runs in Spark and DuckDB.
+MIXED_ADDRESS = """case event_id % 7 when 0 then '::ffff:' || client_ip when 1 then '2001:DB8::' || cast(event_id % 1000 as string)
+    when 2 then 'host-' || client_ip else client_ip end"""
+FIXED_NETWORKS = ("10.0.0.0/8", "10.0.0.2/32", "2001:db8::/32", "2001:db8::100/120", "0.0.0.0/0", "no network")
+
+
+def _mixed(spark, folder):
+    return _dense(spark, folder).select("event_id", F.expr(MIXED_ADDRESS).alias("client_ip"))
+
+
+def typed_addresses(spark, folder):
+    key = addresses.address_key(F.col("client_ip"))
+    rows = _mixed(spark, folder).withColumn("address_key", key)
+    return rows.withColumn("family", addresses.address_family(F.col("address_key")))
+
+
+def network_requests(spark, folder):
+    """Requests by the narrowest listed network: each third octet that occurs, and fixed ones inside and around."""
+    rows = _mixed(spark, folder)
+    seen = _dense(spark, folder).where("client_ip like '203.%'")
+    listed = seen.select(F.concat(F.substring_index("client_ip", ".", 3), F.lit(".0/24")).alias("network")).distinct()
+    fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, FIXED_NETWORKS))).alias("network"))
+    matched = addresses.matched_networks(rows, listed.union(fixed))
+    return matched.groupBy("network").agg(F.count(F.lit(1)).alias("requests"), F.count_distinct("client_ip").alias("clients"))
+
+
+def kql_network(spark, folder):
+    return _even(_fallback(spark, folder).where(addresses.in_network(F.col("client_ip"), "203.0.0.64/26")), *_WINDOW, "bot_probability")
+
+
 # --- learning -----------------------------------------------------------------
 
 def assemble_features(spark, folder):
@@ -590,6 +622,9 @@ QUERIES: dict[str, Query] = {
     "kql_high_conf_070": _search(lambda rows: searches.confident(rows, 0.7)),
     "kql_ip": _search(lambda rows: searches.of_client(rows, CLIENT)),
     "kql_ip_prefix": _search(lambda rows: searches.of_network(rows, NETWORK)),
+    "kql_network": kql_network,
+    "typed_addresses": typed_addresses,
+    "network_requests": network_requests,
     "kql_tool_bots": _search(searches.tool_bots),
     "kql_scanning": _search(searches.scanning),
     "kql_encrypted": _search(searches.encrypted),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from botlens import fixtures, values
+from botlens.functions import addresses
 from botlens.operators import learning
 from botlens.plans import catalog
 
@@ -239,6 +240,10 @@ _DECODED = (
      + " from valid"),
 )
 
+_MIXED = "mixed", f"""select event_id, {catalog.MIXED_ADDRESS.replace('as string', 'as varchar')} as client_ip, client_ip as plain,
+    event_id % 7 as kind,
+    array_to_string(list_transform(string_split(client_ip, '.'), lambda x: printf('%02x', cast(x as int))), '') as digits
+    from logs"""
 _GAPS = "gaps", """select event_id, ts, client_ip,
     (epoch_us(ts) - lag(epoch_us(ts)) over (partition by client_ip order by ts, event_id)) / 1e6 as gap_seconds
     from logs"""
@@ -486,6 +491,16 @@ ORACLES: dict[str, str] = {
     "kql_high_conf_070": _from_found(_SEARCH, "where bot_probability between 0.7e0 and 1e0"),
     "kql_ip": _from_found(_SEARCH, f"where client_ip = '{catalog.CLIENT}'"),
     "kql_ip_prefix": _from_found(_SEARCH, f"where client_ip like '{catalog.NETWORK}%'"),
+    "kql_network": _from_found("bot_probability~", "where client_ip like '203.0.0.%' and cast(split_part(client_ip, '.', 4) as int) between 64 and 127"),
+    "typed_addresses": f"""{_with(DENSE, _MIXED)}select event_id, client_ip,
+        case kind when 1 then '20010db8' || repeat('0', 20) || lpad(cast(event_id % 1000 as varchar), 4, '0')
+            when 2 then null else '{addresses.MAPPED}' || digits end as address_key,
+        cast(case kind when 1 then 6 when 2 then null else 4 end as integer) as family from mixed""",
+    "network_requests": f"""{_with(DENSE, _MIXED, ('matched', """select client_ip,
+        case when kind = 1 then case when event_id % 1000 between 100 and 199 then '2001:db8::100/120' else '2001:db8::/32' end
+            when kind = 2 then null when plain = '10.0.0.2' then '10.0.0.2/32' when plain like '10.%' then '10.0.0.0/8'
+            when plain like '203.%' then regexp_replace(plain, '[.][0-9]+$', '') || '.0/24' else '0.0.0.0/0' end as network from mixed"""))}
+        select network, count(*) as requests, count(distinct client_ip) as clients from matched group by 1""",
     "kql_tool_bots": _from_found(_SEARCH, "where ua_is_tool = 1 and is_bot = 1"),
     "kql_scanning": _from_found(_SEARCH, "where is_failure = 1 and requests_per_ip between 5 and 100"),
     "kql_encrypted": _from_found(_SEARCH, "where is_encrypted = 1"),
