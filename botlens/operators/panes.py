@@ -114,3 +114,28 @@ def feature_windows(features: DataFrame, duration: str, slide: str, watermark: s
         return windows_of_panes(client_panes(features, slide, gaps), duration, slide)
     grouped = client_windows(features, duration, slide, watermark)
     return with_arrival_times(grouped, features, duration, slide) if gaps else grouped
+
+
+#: log2 of the buckets of an agent sketch; the standard error of a count is about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def agent_panes(events: DataFrame, slide: str, watermark: str = "10 minutes") -> DataFrame:
+    """One row per slide and client: number of requests and a sketch of the different agents.
+
+    Works on tables and, in update or append mode, on streams. Sketches can be stored and merged later; an empty agent
+    counts, a NULL one does not.
+    """
+    timed = events.withWatermark("timestamp", watermark).groupBy(F.window("timestamp", slide).alias("pane"), "client_ip")
+    # Sketches pass over empty texts, so every agent gets a first letter.
+    agent = F.concat(F.lit("="), F.col("user_agent"))
+    return timed.agg(F.count(F.lit(1)).alias("request_count"), F.hll_sketch_agg(agent, SKETCH_BITS).alias("agents"))
+
+
+def diversity_windows(panes: DataFrame, duration: str, slide: str) -> DataFrame:
+    """Different agents per sliding window and client from the last state of each pane, with the standard error."""
+    merged = panes.groupBy(F.window("pane.start", duration, slide), "client_ip").agg(
+        F.sum("request_count").alias("request_count"), F.hll_sketch_estimate(F.hll_union_agg("agents")).alias("distinct_agents")
+    )
+    return merged.withColumn("standard_error", F.col("distinct_agents") * F.lit(SKETCH_ERROR))

@@ -158,6 +158,13 @@ def stddev_fill(spark, folder):
     return _even(filled, *_WINDOW, "payload_std_per_ip")
 
 
+def ua_diversity_sketched(spark, folder):
+    """Few agents a client, where a sketch counts exactly."""
+    held = panes.agent_panes(_dense(spark, folder), "30 seconds")
+    counted = windows.flatten_window(panes.diversity_windows(held, "60 seconds", "30 seconds"))
+    return _even(counted, "window_start", "window_end", "client_ip", "request_count", "distinct_agents")
+
+
 def protocol_error_rate(spark, folder):
     rows = features.model_row_features(_dense(spark, folder))
     rates = windows.protocol_error_rate(rows, "60 seconds", "30 seconds")
@@ -557,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "ml_window_features": ml_window_features,
     "first_values": first_values,
     "stddev_fill": stddev_fill,
+    "ua_diversity_sketched": ua_diversity_sketched,
     "protocol_error_rate": protocol_error_rate,
     "request_gaps": request_gaps,
     "inter_arrival": inter_arrival,

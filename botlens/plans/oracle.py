@@ -353,6 +353,9 @@ ORACLES: dict[str, str] = {
     "ua_diversity": f"""{_with(DENSE, _slid('logs', 60, 30))}select window_start, window_end, client_ip,
         count(*) as request_count, count(distinct user_agent) as distinct_agents from slid
         group by window_start, window_end, client_ip""",
+    "ua_diversity_sketched": f"""{_with(DENSE, _slid('logs', 60, 30))}select window_start, window_end, client_ip,
+        count(*) as request_count, count(distinct user_agent) as distinct_agents from slid
+        group by window_start, window_end, client_ip""",
     "burst_window": f"""{_rule(DENSE, 60, 10, 10, 0.5)}select {_round(
         'window_start window_end client_ip request_count burst_score~')} from rule""",
     "error_window": f"""{_rule(DENSE, 300, 10, 10, 0.5)}select {_round(

@@ -56,3 +56,41 @@ def test_requests_are_not_copied_per_window(dense):
     assert len(re.findall(r"FileScan", plan)) == 1 and len(re.findall(r"Exchange ", plan)) == 3
     copied = min(plan.find(name) % (1 << 30) for name in ("Expand", "Generate"))
     assert copied < plan.find("SortAggregate") or copied < plan.find("HashAggregate(keys=[pane")
+
+
+def test_agent_sketches_merge_within_their_error(spark):
+    """A client with 200,000 agents over ten slides, each slide sharing half of them with the next."""
+    rows = spark.range(400_000).select(
+        F.expr("timestamp_millis(1704067200000 + id % 10 * 1000)").alias("timestamp"), F.lit("1.1.1.1").alias("client_ip"),
+        F.expr("concat('agent ', id % 10 * 20000 + (id div 10) % 40000)").alias("user_agent"),
+    )
+    held = panes.agent_panes(rows, "1 second")
+    assert held.count() == 10
+    found = panes.diversity_windows(held, "10 seconds", "10 seconds").first()
+    assert found.request_count == 400_000 and abs(found.distinct_agents - 220_000) < 4 * panes.SKETCH_ERROR * 220_000
+    assert found.standard_error < 0.02 * 220_000
+    plan = panes.diversity_windows(held, "10 seconds", "1 second")._jdf.queryExecution().executedPlan().toString()
+    assert plan.find("Expand") < plan.find("hll_sketch_agg") or "Expand" not in plan[plan.find("hll_sketch_agg"):]
+
+
+def test_agent_sketches_on_a_stream(spark, tmp_path, make_events):
+    for part, rows in enumerate(([{"at": 0, "agent": "a"}, {"at": 35, "agent": ""}], [{"at": 1, "agent": "b"}, {"at": 36, "agent": None}])):
+        make_events(*rows).coalesce(1).write.parquet(str(tmp_path / "feed" / f"part={part}"))
+    schema = make_events({"at": 0}).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    kept = []
+
+    def keep(batch, number):
+        batch.write.parquet(str(tmp_path / "panes" / f"batch={number}"))
+        kept.append(number)
+
+    query = (
+        panes.agent_panes(reader.parquet(str(tmp_path / "feed")), "30 seconds").writeStream.foreachBatch(keep)
+        .outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert query.exception() is None and len(kept) >= 2
+    stored = spark.read.parquet(str(tmp_path / "panes"))
+    newest = stored.groupBy("pane", "client_ip").agg(F.max_by(F.struct("request_count", "agents"), "batch").alias("s")).select("pane", "client_ip", "s.*")
+    found = panes.diversity_windows(newest, "60 seconds", "30 seconds").orderBy("window").collect()
+    assert [(r.request_count, r.distinct_agents) for r in found] == [(2, 2), (4, 3), (2, 1)]
