@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from botlens.llm import hashing
 from botlens.llm.common import row_blocks, saved, text_bytes
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 _DOCS, _BYTES, _PACK, _SAMPLE = 1024, 4 << 20, 200_000, 4096
+#: Index rows that a task looks at together.
+_VISITED = 128
 _TERM = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
@@ -198,12 +200,12 @@ class Pack:
     def search(self, k: int, floors: np.ndarray, lead: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The best k documents of each query in these blocks, without those below the query's floor.
 
-        With ``lead`` each query visits its best-bounded block of every batch only.
+        With ``lead`` each query visits only the best-bounded of every ``_VISITED`` blocks.
         """
         best = _Best(k, floors)
         for batch in batches:
-            if batch.num_rows:
-                self._visit_all(_Blocks(batch, self), best, lead)
+            for at in range(0, batch.num_rows, _VISITED):
+                self._visit_all(_Blocks(batch.slice(at, _VISITED), self), best, lead)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in best.rows()], names=["query", "doc_id", "score"])
 
     def _visit_all(self, blocks: _Blocks, best: _Best, lead: bool) -> None:
