@@ -6,9 +6,10 @@ Two sets are candidates if they share a band key. Pairs within a bucket are neve
    shares most buckets with, one pair a node;
 2. components of these links are numbered, and buckets that hold one component only are done;
 3. in the others, members of different components are compared. Buckets in which more pairs are apart
-   than ``many`` single members have are first split by shingles, which is exact: shingles are ordered,
-   rare ones first, and of two sets of the wanted similarity the first common shingle is within both
-   sets' prefixes (all but the needed overlap less one), where sizes and places leave room for the overlap.
+   than ``many`` single members have are split by shingles, which is exact: nodes that such buckets
+   connect are a crowd, shingles are ordered, rare ones first, and of two sets of the wanted similarity
+   the first common shingle is within both sets' prefixes (all but the needed overlap less one), where
+   sizes and places leave room for the overlap. Each node of a crowd is indexed once.
 
 Pairs that share a bucket end up compared, excluded by their sets, or in one component, so no link
 between components is lost, while a bucket of near copies costs a row a member. A sketch of single signature bits, where there is
@@ -78,8 +79,10 @@ def _rarity(sets: DataFrame, shingles: Shingles) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, shingles: Shingles, percent: int) -> DataFrame:
-    """node, size of its set, and place and shingle of its prefix in the order of rarity."""
+    """Size, place and shingle of each row's prefix in the order of rarity; ``sets`` has node, its set, and columns
+    that go with every row of the prefix."""
     rarity = _rarity(sets, shingles)
+    carried = [f for f in sets.schema.fields if f.name != sets.columns[1]]
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,23 +94,40 @@ def _prefixes(sets: DataFrame, shingles: Shingles, percent: int) -> DataFrame:
             counts = np.array([len(f) for f in firsts[1:]], np.int64)
             row = np.repeat(np.arange(len(counts)), counts)
             places = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            kept = [batch.column(i).take(pa.array(row)) for i in range(batch.num_columns) if i != 1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(np.array(sizes, np.int64)[row]), pa.array(places),
-                 pa.array(np.concatenate(firsts).view(np.int64))],
-                names=["node", "size", "place", "shingle"],
+                [*kept, pa.array(np.array(sizes, np.int64)[row]), pa.array(places), pa.array(np.concatenate(firsts).view(np.int64))],
+                names=[*names, "size", "place", "shingle"],
             )
 
-    return sets.mapInArrow(prefix, "node bigint, size bigint, place bigint, shingle bigint")
+    names = [f.name for f in carried]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in carried]
+    return sets.mapInArrow(prefix, ", ".join([*kinds, "size bigint", "place bigint", "shingle bigint"]))
+
+
+def _crowds(members: DataFrame) -> DataFrame:
+    """``node, crowd``: nodes that crowded buckets connect, over any number of them, are one crowd."""
+    links = members.select("lead", "node").distinct()
+    labels = components(links)
+    nodes = members.select("node").distinct()
+    return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("crowd"))
 
 
 def _crowded_pairs(members: DataFrame, nodes: DataFrame, sets: DataFrame, shingles: Shingles, percent: int) -> DataFrame:
-    """``x, y, sx, sy``: members of one bucket in different components that can be similar enough."""
-    there = sets.join(members.select("node").distinct(), "node", "left_semi")
-    prefixes = _prefixes(there, shingles, percent)
-    entries = saved(members.join(prefixes, "node").join(nodes.select("node", "sketch"), "node"))
+    """``x, y, sx, sy``: members of one crowd in different components that can be similar enough.
+
+    A node has its prefix in the index once, however many crowded buckets it is in. Members of one bucket
+    are in one crowd, so every pair of a bucket is met; shingles that one component only has are left out.
+    """
+    crowds = _crowds(members).join(members.select("node", "component").distinct(), "node")
+    there = crowds.join(nodes.select("node", "sketch"), "node")
+    held = sets.toDF("node", "held").join(there, "node").select("node", "held", "crowd", "component", "sketch")
+    entries = saved(_prefixes(held, shingles, percent))
+    ends = entries.groupBy("crowd", "shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    shared = entries.join(ends.where("least < most").select("crowd", "shingle"), ["crowd", "shingle"], "left_semi")
     names = {"node": ("x", "y"), "component": ("cx", "cy"), "size": ("nx", "ny"), "place": ("px", "py"), "sketch": ("sx", "sy")}
-    left, right = (entries.select("key", "shingle", *(F.col(n).alias(to[i]) for n, to in names.items())) for i in (0, 1))
-    met = left.join(right, ["key", "shingle"]).where("cx < cy")
+    left, right = (shared.select("crowd", "shingle", *(F.col(n).alias(to[i]) for n, to in names.items())) for i in (0, 1))
+    met = left.join(right, ["crowd", "shingle"]).where("cx < cy")
     met = met.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
     room = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
     return met.where((100 + percent) * room >= percent * (F.col("nx") + F.col("ny"))).select("x", "y", "sx", "sy")
@@ -118,9 +138,11 @@ def cross_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, shingles:
     """``a, b``: pairs of one bucket in different components; ``nodes`` has node, keys and a sketch."""
     labelled = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = saved(_by_bucket(labelled, "component").select("key", "node", F.col("value").alias("component")))
-    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
-    within = sizes.groupBy("key").agg(F.sum("size").alias("n"), F.sum(F.col("size") * F.col("size")).alias("own"))
-    crowded = within.where(F.col("n") * F.col("n") - F.col("own") > many * many).select("key")
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"), F.min("node").alias("lead"))
+    within = sizes.groupBy("key").agg(
+        F.sum("size").alias("n"), F.sum(F.col("size") * F.col("size")).alias("own"), F.min("lead").alias("lead")
+    )
+    crowded = within.where(F.col("n") * F.col("n") - F.col("own") > many * many).select("key", "lead")
     crowded = saved(crowded)
     few = members.join(crowded, "key", "left_anti")
     pieces = saved(few.join(nodes.select("node", "sketch"), "node"))
@@ -133,10 +155,14 @@ def cross_pairs(nodes: DataFrame, labels: DataFrame, sets: DataFrame, shingles:
     right = pieces.select("key", F.col("component").alias("to"), F.col("node").alias("y"), F.col("sketch").alias("sy"))
     pairs = meetings.join(left, ["key", "from"]).join(right, ["key", "to"]).select("x", "y", "sx", "sy")
     if not crowded.isEmpty():
-        pairs = pairs.union(_crowded_pairs(members.join(crowded, "key", "left_semi"), nodes, sets, shingles, percent))
+        inside = saved(members.join(crowded, "key").select("lead", "node", "component").distinct())
+        pairs = pairs.union(_crowded_pairs(inside, nodes, sets, shingles, percent))
     if plausible is not None:
         pairs = pairs.where(plausible(F.col("sx"), F.col("sy")))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found = saved(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    for done in (members, crowded, pieces):
+        discard(done)
+    return found
 
 
 def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], first: DataFrame, sets: DataFrame,
@@ -150,8 +176,12 @@ def linked(nodes: DataFrame, verify: Callable[[DataFrame], DataFrame], first: Da
     tried = first.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = saved(verify(tried))
     labels = components(links)
-    more = saved(verify(cross_pairs(nodes, labels, sets, shingles, percent, plausible, many).join(tried, ["a", "b"], "left_anti")))
-    if more.isEmpty():
-        return labels
-    discard(labels)
-    return components(links.union(more))
+    others = cross_pairs(nodes, labels, sets, shingles, percent, plausible, many)
+    more = saved(verify(others.join(tried, ["a", "b"], "left_anti")))
+    discard(others)
+    if not more.isEmpty():
+        discard(labels)
+        labels = components(links.union(more))
+    discard(links)
+    discard(more)
+    return labels
