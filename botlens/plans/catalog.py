@@ -15,7 +15,7 @@ from botlens.config import SENSITIVE, STANDARD
 from botlens.functions import addresses, agents, requests, scores
 from botlens.lineage import checkpointed
 from botlens.operators import (
-    arrivals, detections, features, judging, learning, panes, report, scoring, searches, windows,
+    arrivals, detections, features, judging, learning, panes, report, scoring, searches, sequences, windows,
 )
 from botlens.plans import detectors
 from botlens.sources import access_log, tables, topic
@@ -175,6 +175,19 @@ def request_gaps(spark, folder):
     return _even(arrivals.request_gaps(_sparse(spark, folder)), "event_id", "gap_seconds")
 
 
+#: Two failures, then a success: guessing that works.
+GUESSING, GUESSING_SECONDS = ("status >= 400", "status >= 400", "status < 400"), 30
+
+
+def request_sequences(spark, folder):
+    found = sequences.sequence_matches(_dense(spark, folder), [F.expr(s) for s in GUESSING], GUESSING_SECONDS)
+    return found.select("event_id", "client_ip", "path")
+
+
+def sequence_clients(spark, folder):
+    return _even(sequences.sequence_clients(_dense(spark, folder), [F.expr(s) for s in GUESSING], GUESSING_SECONDS))
+
+
 def inter_arrival(spark, folder):
     gaps = arrivals.request_gaps(_dense(spark, folder))
     return _even(windows.flatten_window(arrivals.arrival_windows(gaps, "60 seconds", "30 seconds")))
@@ -567,6 +580,8 @@ QUERIES: dict[str, Query] = {
     "ua_diversity_sketched": ua_diversity_sketched,
     "protocol_error_rate": protocol_error_rate,
     "request_gaps": request_gaps,
+    "request_sequences": request_sequences,
+    "sequence_clients": sequence_clients,
     "inter_arrival": inter_arrival,
     "exact_temporal_features": exact_temporal_features,
     "ua_diversity": ua_diversity,

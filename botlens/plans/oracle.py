@@ -275,7 +275,23 @@ _BOT_PATHS = (
     " order by request_count desc, path limit 10"
 )
 
+def _guessing() -> list[tuple[str, str]]:
+    """A table per step: its requests, each with the last one of the step before, by client and time."""
+    parts = [DENSE, ("step0", f"select *, epoch_us(ts) as micros, {catalog.GUESSING[0]} as done from logs where client_ip is not null")]
+    for step, condition in enumerate(catalog.GUESSING[1:], 1):
+        parts.append((f"step{step}", f"""select * replace (coalesce(({condition}) and micros - max(case when done then micros end) over (
+            partition by client_ip order by micros range between unbounded preceding and 1 preceding)
+            <= {catalog.GUESSING_SECONDS * 1_000_000}, false) as done) from step{step - 1}"""))
+    return parts
+
+
+_GUESSED = f"step{len(catalog.GUESSING) - 1} where done"
+
 ORACLES: dict[str, str] = {
+    "request_sequences": f"{_with(*_guessing())}select event_id, client_ip, path from {_GUESSED}",
+    "sequence_clients": f"""{_with(*_guessing())}select client_ip, count(*) as sequence_count,
+        cast(floor(epoch(min(ts))) as bigint) as first_completed, cast(floor(epoch(max(ts))) as bigint) as last_completed
+        from {_GUESSED} group by client_ip""",
     "parse_access_log": f"{_with(*_PARSED)}select * from parsed",
     "parse_quarantine": f"{_with(*_LINES)}select event_id, value from lines where not regexp_matches(value, '{_PATTERN}')",
     "normalize_access_log": f"""{_with(*_PARSED)}select event_id, {_ISO.format(_LOG_TIME)} as "timestamp",
