@@ -1,36 +1,81 @@
 """License scan: fixed phrases, and an exact set-similarity join with license templates.
 
-Text blocks are lines; a block's set holds its distinct words. A template is contained in a block if
-at least ``threshold`` of the template's words are in the block. The join is exact:
-
-* words are ordered by their frequency in all blocks, rare ones first (template words only: no other
-  word can be common to both sides);
-* prefix: a block that has all but ``size - need`` of a template's words has one of its first
-  ``size - need + 1`` words, so blocks and templates meet on those words alone;
-* length: a block needs ``need`` distinct words;
-* position: what follows the first common word on either side bounds the overlap;
+Text blocks are overlapping windows of words, across line breaks, so wrapped texts are found: a template
+whose length in words rounds up to the power of two c meets windows of 2c words, one begins every c words
+(any c + 1 neighbouring words are within one). Tokens are pairs of neighbouring words, so words that merely
+stand about in a window do not make a license; a block's set holds its distinct pairs. A template is
+contained in a block if at least ``threshold`` of the template's pairs are in it. The join is exact:
+
+* pairs are ordered by their frequency in all blocks, rare ones first (pairs of templates only: no other
+  can be common to both sides);
+* prefix: a block that has all but ``size - need`` of a template's pairs has one of its first
+  ``size - need + 1``, so blocks and templates meet on those alone;
+* length: a block needs ``need`` distinct pairs;
+* position: what follows the first common pair on either side bounds the overlap;
 * the overlap of what is left is counted on the full sets.
 
 Everything is built-in functions; templates are a fixed list and so small enough to broadcast.
 
 Defined results: null text is empty and has no words. Rows that share doc_id and text share their
 result; rows without id have one as well. An empty table gives an empty table; other columns are not
-looked at. Words are compared lower-cased A-Z.
+looked at. Words are compared lower-cased A-Z. A block never has more than 2c words, however long
+the text or its lines are.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from botlens.llm.common import saved
 
 #: Phrases and labels of the base scan.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Templates of the join and their labels.
+#: Public license texts and notices, and their labels.
+TEXTS = (
+    ("mit", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
+        and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution."""),
+    ("isc", """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("apache-2.0", """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License."""),
+    ("gpl", """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details."""),
+    ("lgpl", """
+        This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)
+        any later version."""),
+    ("mpl-2.0", """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+)
+#: Templates of the join and their labels: single sentences, and the texts above as words.
 TEMPLATES = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
@@ -44,6 +89,7 @@ TEMPLATES = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license"),
     ("reserved", "all rights reserved"),
+    *((label, " ".join(re.findall("[0-9a-z]+", text.lower()))) for label, text in TEXTS),
 )
 THRESHOLD = 0.8
 #: In Java's classes: what parts words, and what words consist of.
@@ -60,11 +106,6 @@ def _phrase(words: str) -> str:
 _ANY_PHRASE = f"(?i)(?<!{_WORD})(?:{'|'.join(_phrase(p) for p, _ in PHRASES)})(?!{_WORD})"
 
 
-def _words(text: Column) -> Column:
-    """Words in order, in the case they are written in."""
-    return F.filter(F.split(text, f"{_GAP}++"), lambda w: w != "")
-
-
 def _n_words(text: Column) -> Column:
     """Number of words: gaps leave an empty part at either end."""
     parts = F.split(text, f"{_GAP}++")
@@ -96,51 +137,74 @@ def _label(match: Column, label: Column) -> Column:
     return label
 
 
+def template_pairs() -> list[tuple[int, str, int, str, str]]:
+    """template, label, class of its length, and the two words, of each distinct pair of a template."""
+    out = []
+    for number, (label, template) in enumerate(TEMPLATES):
+        words = template.split()
+        size = 1 << (len(words) - 1).bit_length()
+        out += [(number, label, size, a, b) for a, b in dict.fromkeys(zip(words, words[1:]))]
+    return out
+
+
 def blocks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, text_hash, size (distinct words) and shared (template words) of each line that shares a
-    word with a template."""
-    vocabulary = sorted({w for _, t in TEMPLATES for w in t.split()})
-    line = F.explode(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n"))
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), line.alias("line"))
-    lowered = F.array_distinct(_words(F.translate("line", _UPPER, _LOWER)))
-    known = F.array(*(F.lit(w) for w in vocabulary))
-    rows = rows.select("doc_id", "text_hash", lowered.alias("words"))
-    return rows.select("doc_id", "text_hash", F.size("words").alias("size"), F.array_intersect("words", known).alias("shared")).where("size(shared) > 0")
-
-
-def _ranked_templates(spark: SparkSession, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ranks of template words by frequency, and templates with sorted ranks and needed overlap."""
-    rows = [(k, label, w) for k, (label, t) in enumerate(TEMPLATES) for w in dict.fromkeys(t.split())]
-    words = spark.createDataFrame(rows, "template int, label string, word string")
-    ranks = (
-        words.select("word").distinct().join(counts, "word", "left")
-        .select("word", F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(0)), "word")).alias("rank"))
-    )
-    ranked = words.join(ranks, "word").groupBy("template", "label").agg(F.array_sort(F.collect_list("rank")).alias("ranks"))
-    need = F.ceil(F.size("ranks") * F.lit(THRESHOLD) - 1e-9).cast("int")
-    return ranks, ranked.select("template", "label", "ranks", need.alias("need"))
+    """doc_id, text_hash, class, block (its number) and shared (distinct template pairs, as numbers) of each
+    window of words that has a pair of a template of its class; pairs are numbered by :func:`_numbers`."""
+    known = sorted({(c, *numbered) for _, _, c, *pair in template_pairs() for numbered in [(*pair, _numbers()[tuple(pair)])]})
+    # A few hundred rows of the fixed list.
+    pairs = docs.sparkSession.createDataFrame(known, "class int, a string, b string, pair int")
+    words = F.filter(F.split(F.translate(F.coalesce(F.col(text_column), F.lit("")), _UPPER, _LOWER), f"{_GAP}++"), lambda w: w != "")
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), words.alias("words"))
+    following = F.arrays_zip(F.col("words").alias("a"), F.slice("words", F.lit(2), F.size("words")).alias("b"))
+    places = rows.select("doc_id", "text_hash", F.posexplode(following).alias("at", "two"))
+    hits = places.select("doc_id", "text_hash", "at", "two.a", "two.b").join(F.broadcast(pairs), ["a", "b"])
+    last = F.floor(F.col("at") / F.col("class")).cast("int")
+    # A window of 2c words from block * c on: a pair is in the last one that has begun, and in the one before
+    # unless its second word is already behind that one's end.
+    inside = F.array_compact(F.array(last, F.when((last > 0) & (F.col("at") % F.col("class") < F.col("class") - 1), last - 1)))
+    windows = hits.select("doc_id", "text_hash", "class", "pair", F.explode(inside).alias("block"))
+    return windows.groupBy("doc_id", "text_hash", "class", "block").agg(F.collect_set("pair").alias("shared"))
+
+
+def _numbers() -> dict[tuple[str, str], int]:
+    """A number for each different pair of words of the templates."""
+    return {pair: i for i, pair in enumerate(sorted({(a, b) for *_, a, b in template_pairs()}))}
+
+
+def _ranked_templates(spark: SparkSession, counts: DataFrame) -> tuple[dict[int, int], DataFrame]:
+    """Ranks of pairs by frequency, rare ones first, and templates with sorted ranks and needed overlap."""
+    found = {r["pair"]: r["n"] for r in counts.collect()}  # at most one row for each pair of the fixed list
+    numbers = _numbers()
+    order = {pair: i for i, pair in enumerate(sorted(numbers.values(), key=lambda p: (found.get(p, 0), p)))}
+    templates: dict[tuple, list[int]] = {}
+    for template, label, size, a, b in template_pairs():
+        templates.setdefault((template, label, size), []).append(order[numbers[a, b]])
+    rows = [(*key, sorted(ranks), needed(len(ranks))) for key, ranks in templates.items()]
+    return order, spark.createDataFrame(rows, "template int, label string, class int, ranks array<int>, need int")
+
+
+def needed(pairs: int) -> int:
+    """How many of a template's pairs a block must have."""
+    return math.ceil(pairs * THRESHOLD - 1e-9)
 
 
 def contained(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, text_hash, label and share for every template contained in a block of a document."""
     spark = docs.sparkSession
     table = saved(blocks(docs, id_column, text_column))
-    counts = table.select(F.explode("shared").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    ranks, templates = _ranked_templates(spark, counts)
-    # Both are as long as the fixed list above: a few dozen rows, read once.
-    rank_of = F.create_map(*(x for r in ranks.collect() for x in (F.lit(r["word"]), F.lit(r["rank"]))))
+    counts = table.select(F.explode("shared").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    order, templates = _ranked_templates(spark, counts)
+    rank_of = F.array(*(F.lit(order[pair]) for pair in sorted(order)))
     prefixes = templates.select(
-        "template", "label", "ranks", "need", F.posexplode(F.slice("ranks", F.lit(1), F.size("ranks") - F.col("need") + 1)).alias("at", "rank")
+        "template", "label", "class", "ranks", "need",
+        F.posexplode(F.slice("ranks", F.lit(1), F.size("ranks") - F.col("need") + 1)).alias("at", "rank"),
     )
-    sorted_ranks = F.array_sort(F.transform("shared", lambda w: rank_of[w]))
-    meeting = spark.createDataFrame(prefixes.collect(), prefixes.schema)
-    meeting_ranks = sorted({r["rank"] for r in meeting.collect()})
-    inside = F.array(*(F.lit(r) for r in meeting_ranks))
-    rows = table.select("doc_id", "text_hash", "size", sorted_ranks.alias("block")).where(F.arrays_overlap("block", inside))
-    rows = rows.select("*", F.posexplode("block").alias("place", "rank"))
-    bound = F.least(F.size("block") - F.col("place"), F.size("ranks") - F.col("at"))
-    met = rows.join(F.broadcast(meeting), "rank").where((F.col("size") >= F.col("need")) & (bound >= F.col("need")))
-    overlap = F.size(F.array_intersect("block", "ranks"))
+    ranked = table.select("doc_id", "text_hash", "class", "block", F.array_sort(F.transform("shared", lambda p: F.get(rank_of, p))).alias("held"))
+    rows = ranked.select("*", F.size("held").alias("size"), F.posexplode("held").alias("place", "rank"))
+    bound = F.least(F.size("held") - F.col("place"), F.size("ranks") - F.col("at"))
+    # Prefixes are part of the fixed list: a few hundred rows.
+    met = rows.join(F.broadcast(prefixes), ["class", "rank"]).where((F.col("size") >= F.col("need")) & (bound >= F.col("need")))
+    overlap = F.size(F.array_intersect("held", "ranks"))
     return (
         met.select("doc_id", "text_hash", "label", "need", overlap.alias("overlap"), F.size("ranks").alias("full"))
         .where("overlap >= need").select("doc_id", "text_hash", "label", (F.col("overlap") / F.col("full")).alias("share"))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
+from collections import Counter
 
 from botlens.llm import hard_negatives, lexical, licenses, warc
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-_TEMPLATES = ", ".join(
-    f"({k}, '{label}', {sorted(set(t.split()))!r}, {math.ceil(len(set(t.split())) * licenses.THRESHOLD - 1e-9)})"
-    for k, (label, t) in enumerate(licenses.TEMPLATES)
+_SIZES = Counter(k for k, *_ in licenses.template_pairs())
+_PAIRS = ", ".join(
+    f"({k}, '{label}', {c}, {_SIZES[k]}, {licenses.needed(_SIZES[k])}, '{a}', '{b}')" for k, label, c, a, b in licenses.template_pairs()
 )
 
 LICENSES = rf"""
@@ -25,14 +25,15 @@ places as (
 base as (
   select id, count(*) as n, min(i) as f, max(i) as l, list_distinct(list(label)) as labels from places where label is not null group by id
 ),
-templates(k, label, words, need) as (values {_TEMPLATES}),
-lines as (
-  select id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as words
-  from (select id, unnest(string_split(low, chr(10))) as line from d)
+pairs(k, label, c, size, need, a, b) as (values {_PAIRS}),
+hits as (select id, i, k, label, p.c, size, need, p.a, p.b from following f join pairs p on f.a = p.a and f.b = p.b),
+windows as (
+  select id, k, label, size, need, a, b, i // c as win from hits
+  union all select id, k, label, size, need, a, b, i // c - 1 from hits where i >= c and i % c < c - 1
 ),
+held as (select id, k, label, size, need, count(distinct a || ' ' || b) as n from windows group by id, k, label, size, need, win),
 more as (
-  select id, list_distinct(list(label)) as labels, max(len(list_intersect(l.words, t.words)) / len(t.words)) as share
-  from lines l, templates t where len(list_intersect(l.words, t.words)) >= need group by id
+  select id, list_distinct(list(label)) as labels, max(n / size) as share from held where n >= need group by id
 )
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_base, cast(f as bigint) as first_word, cast(l as bigint) as last_word,
   coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,

@@ -91,11 +91,13 @@ def scan(text):
                 starts.append(i)
                 labels.add(label)
     every, best = set(labels), 0.0
-    for line in low.split("\n"):
-        own = set(word.findall(line))
-        for label, template in licenses.TEMPLATES:
-            need = set(template.split())
-            common = len(own & need)
+    for label, template in licenses.TEMPLATES:
+        parts = template.split()
+        need = set(zip(parts, parts[1:]))
+        step = next(2**i for i in range(20) if 2**i >= len(parts))
+        for at in range(0, len(words), step):
+            block = words[at : at + 2 * step]
+            common = len(set(zip(block, block[1:])) & need)
             if common >= math.ceil(len(need) * licenses.THRESHOLD - 1e-9):
                 every.add(label)
                 best = max(best, common / len(need))
@@ -108,6 +110,11 @@ def test_license_scan_is_exact(spark, docs_of, no_docs):
     voc = "cc by CC By all rights reserved general public license GPL licensed under the mit released License Apache version 2.0 é x _ - .".split()
     texts = [draw.choice(["", " ", "  ", ", ", "\n"]).join(draw.choices([*voc, "\n"], k=draw.randint(0, 30))) for _ in range(400)]
     texts += [None, "", "All   rights reserved.", "cc by cc by", "Released under MIT license", licenses.TEMPLATES[1][1].upper(), "a" * 100_000]
+    for _, text in licenses.TEXTS:
+        words = text.split()
+        for lost in (1, 3, 12):
+            kept = [w for w in words if draw.randrange(100) >= lost]
+            texts.append("filler " * draw.randrange(300) + "\n".join(" ".join(kept[i : i + 9]) for i in range(0, len(kept), 9)) + " word" * 40)
     rows = licenses.license_scan(docs_of(texts)).collect()
     assert len(rows) == len(texts)
     for r in rows:
@@ -116,6 +123,23 @@ def test_license_scan_is_exact(spark, docs_of, no_docs):
     assert licenses.license_scan(no_docs).count() == 0
 
 
+def test_wrapped_texts_are_found_and_scattered_words_are_not(spark, docs_of):
+    wrapped = [
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense",
+        "tree " * 5000 + "\n".join(licenses.TEXTS[0][1].split()) + " tree" * 5000,
+    ]
+    scattered = [
+        " ".join(sorted(licenses.TEMPLATES[1][1].split())),
+        "released under the apache license",
+        " and then ".join(licenses.TEMPLATES[9][1].split()),
+        " ".join(w + " tree" * 40 for w in licenses.TEMPLATES[0][1].split()),
+    ]
+    rows = sorted(licenses.license_scan(docs_of(wrapped + scattered)).collect())
+    assert [r.labels for r in rows] == ["bsd", "gpl", "mit", "", "", "", ""]
+    assert [r.score for r in rows[3:]] == [0.0] * 4
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id bigint, url string, html string, data string")
 
