@@ -80,6 +80,30 @@ def test_trees_add_what_base_patterns_miss(spark):
     assert texts == {1: "call [phone] or [phone]", 2: "call 555-1234", 3: None}
 
 
+def test_fitted_trees_add_loose_forms_and_leave_look_alikes(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(400):
+        card = "".join(draw.choices("123456789", k=15))
+        card += next(c for c in "0123456789" if luhn(card + c))
+        spans = (f"{draw.choice('abcdef')}x.{i}@mail{i % 7}.example.com", card, f"+1 ({draw.randint(200, 999)}) 555-{draw.randint(1000, 9999)}")
+        rows.append((i, f"thing er the {draw.choice(spans)} Ond hre, and {draw.choice(spans)} stion."))
+    judge = pii.fitted(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [m is not None and m[0] >= 0.95 and m[1] >= 0.5 for m in judge.measured] == [True, False, True, True]
+    added = {
+        "write to john [at] example [dot] org today": "email:9:36", "mail jane (at) example dot com please": "email:5:31",
+        "thing er the 4111.1111.1111.1111 on": "card:13:32", "credit card: 4111/1111/1111/1111 on": "card:13:32",
+        "call 555-123-4567 now": "phone:5:17",
+    }
+    left = [
+        "version 10.20.300.4000 is out", "date 2021-03-04 - 2021-05 it was", "order 555-123-4567 came", "300.400.500.600 is no host",
+        "order 123-4567890-1234567 came", "thing er the 4111.1111.1111.1112 on", "we meet at noon dot com", "04/05/2021 was a day",
+    ]
+    docs = spark.createDataFrame(list(enumerate([*added, *left])), "doc_id bigint, text string")
+    found = [r.spans for r in sorted(pii.personal_data(docs, judge).collect())]
+    assert found == [*added.values(), *[""] * len(left)]
+
+
 def scan(text):
     low = (text or "").translate(LOW)
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
