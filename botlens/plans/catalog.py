@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from botlens import fixtures, schema, values
 from botlens.config import SENSITIVE, STANDARD
 from botlens.functions import addresses, agents, requests, scores
-from botlens.lineage import checkpointed
+from botlens.lineage import checkpointed, stored
 from botlens.operators import (
     arrivals, detections, features, judging, learning, panes, report, scoring, searches, sequences, windows,
 )
@@ -353,7 +353,9 @@ def interpolate_minority(spark, folder):
 
 
 def interpolate_nearest(spark, folder):
-    made = learning.interpolate_nearest(_labeled(spark, folder), "detection_id", copies=2)
+    found = detections.with_detection_id(_fallback(spark, folder)).withColumn("label", F.col("is_bot"))
+    needed = stored(found.select("detection_id", "label", *values.FEATURE_NAMES))
+    made = learning.interpolate_nearest(needed, "detection_id", copies=2)
     return _even(made)
 
 

@@ -69,3 +69,28 @@ def test_synthetic_rows_lie_between_neighbours(spark):
     again = learning.interpolate_nearest(frame.repartition(5), "key", copies=3)
     assert made.exceptAll(again).count() == again.exceptAll(made).count() == 0
     assert learning.interpolate_nearest(frame.where("label = 0"), "key").count() == 0
+
+
+def test_many_points_are_met_in_narrow_blocks(spark):
+    """Thousands of points, some of them far out: the nearest ones, and few distances made on the way."""
+    import numpy as np
+
+    from botlens.operators import neighbours
+
+    draw = np.random.default_rng(5)
+    at = np.round(np.concatenate([draw.normal(0, 1, (5900, 4)), draw.normal(0, 60, (100, 4))]), 3)
+    rows = [(f"k{i:05d}", 0, *map(float, r)) for i, r in enumerate(at)]
+    frame = table(spark, rows)
+    found = nearest_rows(frame, "key", ["g"], VALUES, [F.col(v) for v in VALUES], 2).collect()
+    assert len(found) == len(rows)
+    got = {r.key: [(n["distance"], n["key"]) for n in r.nearest] for r in found}
+    apart = neighbours._apart(at, at)
+    np.fill_diagonal(apart, np.inf)
+    order = np.argsort(apart, axis=1, kind="stable")[:, :2]
+    assert got == {rows[i][0]: [(apart[i, j], rows[j][0]) for j in order[i]] for i in range(len(rows))}
+    points = neighbours._points(frame, "key", ["g"], VALUES, 3).orderBy(F.col("_keys")[0]).withColumn("_point", F.monotonically_increasing_id())
+    blocks = neighbours._blocks(points.withColumn("_at", F.array(*VALUES)), ["g"], 4, 2).cache()
+    visits = neighbours._visits(blocks, ["g"]).join(blocks.select("block", "ids"), "block")
+    made = visits.agg(F.sum(F.size("from_ids") * F.size("ids"))).first()[0]
+    blocks.unpersist()
+    assert made < len(rows) ** 2 / 3
