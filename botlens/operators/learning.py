@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -215,7 +215,14 @@ def train_forest(
     )
     if weight:
         forest = forest.setWeightCol(weight)
-    return Pipeline(stages=[*scaling_stages(), forest]).fit(labeled)
+    scaling = Pipeline(stages=scaling_stages()).fit(labeled)
+    # The forest reads its input several times: vectors are made once and kept until it is fitted.
+    rows = scaling.transform(labeled).select("features", label, *([weight] if weight else []))
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([*scaling.stages, forest.fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 def predict_probability(windows: DataFrame, model: PipelineModel) -> DataFrame:

@@ -359,14 +359,19 @@ def interpolate_nearest(spark, folder):
     return _even(made)
 
 
-def _trained(spark, folder):
-    rows = checkpointed(detectors.training_rows(_fallback(spark, folder)))
+def _training(found: DataFrame, *keys: str) -> DataFrame:
+    """Training rows of detections: their windows are computed once, and only what a forest reads is kept."""
+    return detectors.training_rows(stored(found.select(*keys, "is_bot", *values.FEATURE_NAMES))).drop("is_bot")
+
+
+def _trained(found: DataFrame):
+    rows = _training(found)
     return rows, learning.train_forest(rows)
 
 
 def train_forest(spark, folder):
     """A forest on all windows: rows by label, and whether it has learned nine of ten of them at least."""
-    rows, model = _trained(spark, folder)
+    rows, model = _trained(_fallback(spark, folder))
     judged = learning.predict_threshold(learning.predict_probability(rows, model), 0.5)
     right = F.sum((F.col("is_bot") == F.col("label")).cast("int"))
     whole = judged.agg((right / F.count(F.lit(1)) >= 0.9).alias("x")).scalar()
@@ -375,7 +380,7 @@ def train_forest(spark, folder):
 
 def forest_holdout(spark, folder):
     """A forest fitted on seven tenths of the windows, judged on the others: right in 80 % at least."""
-    rows = checkpointed(detectors.training_rows(detections.with_detection_id(_fallback(spark, folder))))
+    rows = _training(detections.with_detection_id(_fallback(spark, folder)), "detection_id")
     held = learning.unit_hash(F.col("detection_id")) >= 0.7
     model = learning.train_forest(rows.where(~held))
     judged = learning.predict_threshold(learning.predict_probability(rows.where(held), model), 0.5)
@@ -390,8 +395,10 @@ def forest_holdout(spark, folder):
 
 
 def predict_proba(spark, folder):
-    _, model = _trained(spark, folder)
-    found = detectors.model_detections(_dense(spark, folder), SENSITIVE, model)
+    # Labels and scores are made from the same windows.
+    windows = stored(detectors.model_windows(_dense(spark, folder), SENSITIVE))
+    _, model = _trained(detectors.judged_windows(windows, SENSITIVE, None))
+    found = detectors.judged_windows(windows, SENSITIVE, model)
     above = F.col("bot_probability") >= SENSITIVE.ml.prediction_threshold
     facts = {"probability_valid": F.col("bot_probability").between(0, 1), "verdict_fits": (F.col("is_bot") == 1) == above}
     return _even(found.withColumns(facts), *_WINDOW, *facts, "prediction_method")

@@ -7,7 +7,8 @@ from botlens.config import SENSITIVE
 from botlens.lineage import checkpointed
 from botlens.operators import learning
 from botlens.operators.detections import with_detection_id
-from botlens.plans import detectors
+from botlens.plans import catalog, detectors
+from conftest import DATA
 
 
 @pytest.fixture(scope="module")
@@ -179,3 +180,17 @@ def test_onnx_model(training, tmp_path):
         [r[0] for r in f.orderBy(*rows.columns).select("bot_probability").collect()] for f in (mine, want)
     )
     assert found == pytest.approx(wanted, abs=1e-5)
+
+
+def test_windows_are_made_once_for_labels_weights_and_scores(spark, monkeypatch):
+    read = []
+    weigh = detectors.learning.class_weights
+    monkeypatch.setattr(detectors.learning, "class_weights", lambda rows: read.append(rows.inputFiles()) or weigh(rows))
+    found = catalog.predict_proba(spark, DATA)
+    assert len(read) == 1 and not any("events.parquet" in f for f in [*read[0], *found.inputFiles()])
+
+
+def test_training_input_is_freed_after_fitting(training):
+    before = training.sparkSession.sparkContext._jsc.getPersistentRDDs().size()
+    learning.train_forest(training, trees=2, depth=2)
+    assert training.sparkSession.sparkContext._jsc.getPersistentRDDs().size() == before
