@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from botlens.lineage import checkpointed
+from botlens.lineage import stored
 from botlens.operators import learning
 
 STEPS = 1000
@@ -26,7 +26,7 @@ def fold_of(key: Column, folds: int) -> Column:
 
 def out_of_fold(labeled: DataFrame, key: Column, folds: int = 3, **forest) -> DataFrame:
     """Assembled, labelled rows with the ``bot_probability`` of a forest that was fitted without their fold."""
-    rows = checkpointed(labeled.withColumn("fold", fold_of(key, folds)))
+    rows = stored(labeled.withColumn("fold", fold_of(key, folds)))
     scored = []
     for fold in range(folds):
         model = learning.train_forest(rows.where(F.col("fold") != fold), **forest)

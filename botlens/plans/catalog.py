@@ -407,10 +407,11 @@ def predict_proba(spark, folder):
 def calibrated_forest(spark, folder):
     """Scores out of fold, calibrated on two thirds of the windows and judged on the others: off by 0.05 at most, and precise."""
     found = detections.with_detection_id(_fallback(spark, folder))
-    scored = checkpointed(judging.out_of_fold(detectors.training_rows(found), F.col("detection_id")))
+    scored = judging.out_of_fold(_training(found, "detection_id"), F.col("detection_id"))
+    scored = stored(scored.select("label", "fold", "bot_probability"))
     held = F.col("fold") == 0
     model = judging.fit_calibration(scored.where(~held))
-    made = checkpointed(judging.calibrate(scored.where(held), model))
+    made = stored(judging.calibrate(scored.where(held), model))
     threshold = judging.threshold_for(judging.calibrate(scored.where(~held), model), 0.95)
     # A few rows lie off by chance alone.
     off = 0.05 + 1 / max(made.count(), 1) ** 0.5
