@@ -209,3 +209,42 @@ def test_two_large_components_of_one_bucket_do_not_write_all_pairs(spark):
     table = spark.createDataFrame(packed, "node bigint, shingles binary")
     pairs = banding.cross_pairs(nodes, labels, table, near_dedup._unpacked, 75, None, 64)
     assert {(r.a, r.b) for r in pairs.collect()} == {(i, 300) for i in range(150, 300)}
+
+
+def test_search_for_leaders_gets_shared_keys_only(spark, docs_of, monkeypatch):
+    """Forty keys of every line went through three shuffles; lines without a partner have none now."""
+    draw = random.Random(11)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=60)) for _ in range(400)]
+    texts += ["\n".join(t[:30] + "#" + t[31:] for t in texts[:3]), "\n".join(texts[3:5])]
+    seen = []
+
+    def kept(nodes):
+        seen.extend(nodes.collect())
+        return banding.leaders(nodes)
+
+    monkeypatch.setattr(line_dedup, "leaders", kept)
+    monkeypatch.setattr(line_dedup, "_BLOCK", 1 << 12)  # signed in many blocks
+    rows = {r.doc_id: r.removed_lines for r in line_dedup.line_verdicts(docs_of(texts)).collect()}
+    assert [rows[i] for i in range(402)] == [""] * 400 + ["0,1,2", "0,1"]
+    assert len(seen) == 6 and all(r["keys"] for r in seen)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(name) == "false"
+
+
+def test_signatures_of_many_sets_hardly_miss_a_pair_at_the_threshold():
+    numbers = np.random.default_rng(12)
+    for size, step in ((8, 1), (16, 2), (80, 10), (9000, 1125)):
+        count = 2000 if size < 1000 else 20
+        pairs = [numbers.integers(1 << 64, size=size, dtype=np.uint64) for _ in range(count)]
+        sets = [part for both in pairs for part in (both[step:], both[:-step])]
+        sets = [np.concatenate((s, s[: len(s) // 2])) for s in sets]  # repeats count once
+        ends = np.cumsum([0] + [len(s) for s in sets])
+        signed, sizes = hashing.signatures(np.concatenate(sets), ends, line_dedup.BANDS * line_dedup.ROWS)
+        assert (abs(sizes - (size - step)) <= 1 + size // 100).all()
+        keys = hashing.band_keys(signed, line_dedup.BANDS)
+        assert (~(keys[::2] == keys[1::2]).any(axis=1)).sum() <= 2
+        bits = hashing.sketches(signed, sizes, 2).view(np.uint64)
+        assert bits.any() == (size > 64)
+        assert np.bitwise_count(bits[::2] ^ bits[1::2]).sum(axis=1).max() <= banding._most_apart(2, 75)
+    alone, _ = hashing.signatures(sets[0], np.array([0, len(sets[0])]), line_dedup.BANDS * line_dedup.ROWS)
+    assert (alone[0] == signed[0]).all()
