@@ -243,8 +243,8 @@ def test_signatures_of_many_sets_hardly_miss_a_pair_at_the_threshold():
         assert (abs(sizes - (size - step)) <= 1 + size // 100).all()
         keys = hashing.band_keys(signed, line_dedup.BANDS)
         assert (~(keys[::2] == keys[1::2]).any(axis=1)).sum() <= 2
-        bits = hashing.sketches(signed, sizes, 2).view(np.uint64)
-        assert bits.any() == (size > 64)
-        assert np.bitwise_count(bits[::2] ^ bits[1::2]).sum(axis=1).max() <= banding._most_apart(2, 75)
+        bits = hashing.sketches(np.concatenate(sets), ends, signed, sizes, 2).view(np.uint64).reshape(-1, 2, 2)
+        assert bits.any(axis=(0, 2)).tolist() == [size < 100, size > 64]
+        assert np.bitwise_count(bits[::2] ^ bits[1::2]).sum(axis=2).max() <= banding._most_apart(2, 75)
     alone, _ = hashing.signatures(sets[0], np.array([0, len(sets[0])]), line_dedup.BANDS * line_dedup.ROWS)
     assert (alone[0] == signed[0]).all()
