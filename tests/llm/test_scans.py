@@ -104,6 +104,21 @@ def test_fitted_trees_add_loose_forms_and_leave_look_alikes(spark):
     assert found == [*added.values(), *[""] * len(left)]
 
 
+def test_trees_are_fitted_on_all_documents(spark, monkeypatch):
+    """Documents beyond the first four thousand were left out of the fit."""
+    rows = [(i, f"er the a{i}.b@mail{i}.example.com Ond") for i in range(6000)]
+    seen = []
+    made = pii._examples
+
+    def kept(places):
+        seen.append((places.count(), places.select("doc").distinct().count()))
+        return made(places)
+
+    monkeypatch.setattr(pii, "_examples", kept)
+    judge = pii.fitted(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert seen == [(6000, 6000)] and judge.thresholds[0] is not None
+
+
 def scan(text):
     low = (text or "").translate(LOW)
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
