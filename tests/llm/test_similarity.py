@@ -248,3 +248,70 @@ def test_signatures_of_many_sets_hardly_miss_a_pair_at_the_threshold():
         assert np.bitwise_count(bits[::2] ^ bits[1::2]).sum(axis=2).max() <= banding._most_apart(2, 75)
     alone, _ = hashing.signatures(sets[0], np.array([0, len(sets[0])]), line_dedup.BANDS * line_dedup.ROWS)
     assert (alone[0] == signed[0]).all()
+
+
+def test_members_of_a_crowded_bucket_without_a_likely_partner_stay_in_their_slot(spark):
+    """All members of a bucket of more than 64 were kept, with their sketches, and got an index of prefixes."""
+    numbers = np.random.default_rng(13)
+    bits = numbers.integers(1 << 64, size=(300, 2, 3), dtype=np.uint64)
+    bits[:150, 1] = 0  # small sets have one kind of sketch, large ones the other
+    bits[150:, 0] = 0
+    bits[170, 1] = bits[160, 1] ^ np.uint64(1 << 40 | 7)
+    bits[299, 1] = bits[160, 1]
+    keys = banding.packed_keys(np.repeat(np.array([[77, 78]]), 300, axis=0))
+    steps = [20] * 299 + [40]  # the last one is too large to be a partner
+    rows = [(i, s, bytearray(b.tobytes()), bytearray(k.tobytes())) for i, (s, b, k) in enumerate(zip(steps, bits, keys))]
+    signed = spark.createDataFrame([*rows, rows[0], rows[160]], "node bigint, step tinyint, sketch binary, keys_0 binary")
+    (found,) = banding.bucket_members(signed, 1, 3, 75)
+    rows = found.collect()
+    assert sorted(r.node for r in rows) == [160, 160, 170, 170] and len({r.key for r in rows}) == 2
+
+
+@pytest.mark.parametrize("held", [1 << 20, 0])
+def test_links_across_components_are_those_of_brute_force(monkeypatch, held):
+    import pyarrow as pa
+
+    monkeypatch.setattr(banding, "_BITS_HELD", held)  # 0: sets are counted without bits
+    monkeypatch.setattr(banding, "_AT_ONCE", 1 << 10)
+    draw = random.Random(14)
+    sets, component = [], []
+    for c in range(120):
+        base = draw.sample(range(1 << 60), draw.choice([4, 20, 60]))
+        for k in range(draw.choice([1, 1, 2, 30])):
+            sets.append(sorted({*base[: len(base) - draw.randrange(1 + len(base) // 3)], *draw.sample(range(1 << 60), draw.randrange(3))}))
+            component.append(5000 + 2 * c + k % 2)  # each base is two components that hang together
+    keys = [sorted({-1, -2 - i % 3, draw.randrange(40)}) for i in range(len(sets))]
+    group = pa.table({
+        "slot": pa.array([0] * len(sets), pa.int32()), "node": range(len(sets)), "component": component, "keys": keys,
+        "held": pa.array([np.array(x, np.uint64).tobytes() for x in sets], pa.binary()),
+    })
+    found = banding._across(lambda c: near_dedup._unpacked(c), 75)(group)
+    pairs = list(zip(found["a"].to_pylist(), found["b"].to_pylist()))
+    alike = lambda i, j: 100 * len({*sets[i]} & {*sets[j]}) >= 75 * len({*sets[i]} | {*sets[j]})
+    assert all(a < b and component[a] != component[b] and alike(a, b) for a, b in pairs)
+    met = [
+        tuple(sorted((component[i], component[j]))) for j in range(len(sets)) for i in range(j)
+        if {*keys[i]} & {*keys[j]} and component[i] != component[j] and alike(i, j)
+    ]
+    assert {tuple(sorted((component[a], component[b]))) for a, b in pairs} == {*met} and len(met) > 10 * len({*met}) > 100
+    assert len(pairs) < len(met) / 2
+
+
+def test_components_of_lines_that_only_later_pairs_link(spark):
+    """Several hundred components share one band; what their leaders do not link is linked within the bucket."""
+    draw = random.Random(15)
+    sets = []
+    for _ in range(150):
+        base = [*range(draw.choice([0, 10, 40])), *draw.sample(range(100, 1 << 40), draw.choice([4, 20, 60]))]
+        sets.append({*base})
+        if draw.random() < 0.5:
+            sets.append({*base[: len(base) - len(base) // draw.choice([5, 8, 12])], draw.randrange(100, 1 << 40)})
+    draw.shuffle(sets)
+    alike = lambda i, j: 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    want = roots(len(sets), [(i, j) for j in range(len(sets)) for i in range(j) if alike(i, j)])
+    nodes = spark.createDataFrame([(i, i, [-1, i]) for i in range(len(sets))], "node bigint, rank bigint, keys array<bigint>")
+    table = spark.createDataFrame([(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in enumerate(sets)], "node bigint, shingles binary")
+    verify = lambda pairs: pairs.where(F.udf(alike, "boolean")("a", "b"))
+    found = banding.linked_in_buckets(nodes, verify, saved(banding.leaders(nodes)), table, near_dedup._unpacked, 75)
+    labels = {r.node: r.component for r in found.collect()}
+    assert [labels.get(i, i) for i in range(len(sets))] == want and len({*want}) < len(want)
