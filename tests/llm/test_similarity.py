@@ -315,3 +315,18 @@ def test_components_of_lines_that_only_later_pairs_link(spark):
     found = banding.linked_in_buckets(nodes, verify, saved(banding.leaders(nodes)), table, near_dedup._unpacked, 75)
     labels = {r.node: r.component for r in found.collect()}
     assert [labels.get(i, i) for i in range(len(sets))] == want and len({*want}) < len(want)
+
+
+def test_pipeline_bounds_the_rows_of_an_arrow_batch(spark, docs_of):
+    """An executor that went through all stages held 10,000 texts several times."""
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("10000", "2000"), ("0", "2000"), ("500", "500")):
+            spark.conf.set(name, given)
+            corpus_pipeline.STAGES[0][1](spark, docs_of(["one text"]), "")
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
